@@ -160,21 +160,69 @@ def any_rule(text: Column, rules: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
-_ANCHORED = re.compile(r"\\[bBAZ]|\^|\$|\(\?[=!<]")
+# --- literal rules -------------------------------------------------------------
 
+# The only characters beyond ASCII that equal an ASCII letter when
+# case is ignored, and the letters they equal.
+_FOLDED_FROM, _FOLDED_TO = "ſKİı", "skii"
 
-def anywhere_pattern(terms: Sequence[str]) -> str | None:
-    """Found wherever a term occurs, inside words too; None if that cannot be said.
 
-    A superset of every whole-word hit in any slice of the text, so it can rule
-    texts out before slices are looked at.
+def folded(col: Column) -> Column:
+    """Case-folded form in which a hit of a literal rule equals its literal."""
+    return F.lower(F.translate(col, _FOLDED_FROM, _FOLDED_TO))
+
+
+def literal_of(rule: str) -> str | None:
+    """The lower-case wording of a whole-word rule made of plain ASCII, else None."""
+    atoms = _whole_word_atoms(rule)
+    if atoms is None or not rule.isascii():
+        return None
+    letters = [a[1] if len(a) == 2 and a[0] == "\\" else a for a in atoms]
+    if any(len(letter) != 1 or atom == "." for letter, atom in zip(letters, atoms)):
+        return None
+    return "".join(letters)
+
+
+def begun_by(literals: Iterable[str]) -> dict[str, list[int]]:
+    """For literals that start with another literal at a word end: those lengths."""
+    known = set(literals)
+    lengths = {
+        literal: [
+            i
+            for i in range(1, len(literal))
+            if literal[:i] in known and _is_word_char(literal[i - 1]) != _is_word_char(literal[i])
+        ]
+        for literal in known
+    }
+    return {literal: found for literal, found in lengths.items() if found}
+
+
+def literal_finder(literals: Sequence[str]) -> str:
+    """Zero-width pattern whose group 1 is the longest literal at each place."""
+    escaped = [[c if c.isalnum() or c in " _" else "\\" + c for c in literal] for literal in literals]
+    return f"{FLAGS}{_NOT_AFTER_WORD}(?=({_shared_prefixes(escaped)}){_NOT_BEFORE_WORD})"
+
+
+def word_starts_inside(literal: str) -> list[str]:
+    """What follows each later word start of a literal."""
+    return [
+        literal[i:]
+        for i in range(1, len(literal))
+        if _is_word_char(literal[i]) and not _is_word_char(literal[i - 1])
+    ]
+
+
+def independent_words(terms: Sequence[str]) -> list[str] | None:
+    """The literals of a word list if no two of them can share text, else None.
+
+    Only then is "found anywhere" the same as "found by reading the list's
+    pattern from left to right".
     """
-    sequences = []
-    for term in terms:
-        if _ANCHORED.search(term) or _NEEDS_OWN_SCAN.search(term):
-            return None
-        atoms = _ATOM.findall(term)
-        if "".join(atoms) != term:
-            atoms = [f"(?:{jvm_body(term)})"]
-        sequences.append([a.lower() if a.isascii() and a.isalpha() else jvm_body(a) for a in atoms])
-    return FLAGS + _shared_prefixes(sequences) if sequences else None
+    literals = [literal_of(rf"\b{t}\b") for t in terms]
+    if None in literals or begun_by(literals):
+        return None
+    for literal in literals:
+        for rest in word_starts_inside(literal):
+            if any(rest.startswith(other) or other.startswith(rest) for other in literals):
+                return None
+    return list(dict.fromkeys(literals))

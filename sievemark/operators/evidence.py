@@ -2,60 +2,151 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.functions.regex import FLAGS, any_rule, jvm_pattern, word_list_body
+from sievemark.functions.regex import (
+    FLAGS,
+    any_rule,
+    begun_by,
+    folded,
+    jvm_pattern,
+    literal_finder,
+    literal_of,
+    word_list_body,
+)
 from sievemark.functions.text import STRINGS, empty_strings
 
 # Rules per guard: a guard is one shared scan that lets a text skip its rules.
 FANOUT = 6
 
-_HITS = "array<struct<ord:int,match:string>>"
+_PREFIX = "__evidence_"
+_HITS, _FOUND, _KEYS, _WORDING, _OTHERS = (
+    _PREFIX + name for name in ("hits", "found", "keys", "wording", "others")
+)
+
+
+def with_evidence(
+    df: DataFrame,
+    lists: Mapping[str, Sequence[str]],
+    text: Column,
+    guard: Column | None = None,
+    positions: bool = False,
+    words: Sequence[str] = (),
+    words_column: str | None = None,
+) -> DataFrame:
+    """Add one column per rule list: the evidence its rules find in ``text``.
+
+    There is one entry per rule found, in rule order: its first match in
+    original case. Overlapping rules all count. With ``positions`` an entry is
+    ``struct<ord, match>``. Texts outside ``guard`` get empty lists unread.
+
+    Literal rules of all lists are found together, in one pass over the text;
+    what is left to do per rule is a lookup among the few words found. Other
+    rules are scanned one by one, under shared guards. Further literal ``words`` are looked for in the
+    same pass; ``words_column`` receives each distinct wording found of any
+    literal.
+    """
+    guard = F.lit(True) if guard is None else guard
+    rules = [rule for patterns in lists.values() for rule in patterns]
+    literals = [*words, *(literal for literal in map(literal_of, rules) if literal is not None)]
+    others = [rule for rule in rules if literal_of(rule) is None]
+    before = df.columns
+    df = _with_literals_found(df, literals, text, guard, words_column)
+    if others:
+        df = df.withColumn(_OTHERS, guard & any_rule(text, others))
+    columns = {name: _list_evidence(patterns, text, positions) for name, patterns in lists.items()}
+    kept = [*before, *([words_column] if words_column else []), *columns]
+    return df.withColumns(columns).select(*kept)
+
+
+def _with_literals_found(
+    df: DataFrame, literals: Sequence[str], text: Column, guard: Column, words_column: str | None
+) -> DataFrame:
+    """Add the distinct literals found, and the first wording of each."""
+    if not literals:
+        return df.withColumns({_KEYS: empty_strings(), _WORDING: empty_strings()})
+    hits = F.regexp_extract_all(text, F.lit(literal_finder(literals)), F.lit(1))
+    df = df.withColumn(_HITS, F.when(guard, hits).otherwise(empty_strings()))
+    beginnings = begun_by(literals)
+    if beginnings:
+        # A long hit is also a hit of each literal it begins with.
+        lengths = F.from_json(F.lit(json.dumps(beginnings)), "map<string,array<int>>")
+
+        def with_beginnings(hit: Column) -> Column:
+            shorter = F.transform(lengths[folded(hit)], lambda n: F.substring(hit, F.lit(1), n))
+            return F.coalesce(F.array_prepend(shorter, hit), F.array(hit))
+
+        df = df.withColumn(_HITS, F.flatten(F.transform(_HITS, with_beginnings)))
+    df = df.withColumn(_FOUND, F.transform(_HITS, folded))
+    first_wordings = F.transform(
+        F.array_distinct(_FOUND), lambda key: F.get(_HITS, _index(F.array_position(_FOUND, key)))
+    )
+    found = {_KEYS: F.array_distinct(_FOUND), _WORDING: first_wordings}
+    if words_column:
+        found[words_column] = F.array_distinct(_HITS)
+    return df.withColumns(found)
+
+
+def _index(position: Column) -> Column:
+    return position.cast("int") - 1
+
+
+def _entry(position: Column, match: Column, positions: bool) -> Column:
+    return F.struct(position.cast("int").alias("ord"), match.alias("match")) if positions else match
+
+
+def _list_evidence(rules: Sequence[str], text: Column, positions: bool) -> Column:
+    empty = F.array().cast("array<struct<ord:int,match:string>>" if positions else STRINGS)
+    runs, start = [], 0
+    for is_literal, run in groupby(rules, key=lambda rule: literal_of(rule) is not None):
+        run = list(run)
+        if is_literal:
+            runs.append(_literal_run([literal_of(rule) for rule in run], start, positions, empty))
+        else:
+            found = _guarded(text, list(enumerate(run, start)), positions, empty)
+            runs.append(F.when(F.col(_OTHERS), F.array_compact(found)).otherwise(empty))
+        start += len(run)
+    return reduce(lambda a, b: F.concat(a, b), runs) if runs else empty
+
 
+def _literal_run(literals: Sequence[str], start: int, positions: bool, empty: Column) -> Column:
+    # One constant array of literals, looked up among the words found.
+    wanted = F.split(F.lit("\n".join(literals)), "\n")
 
-def _guarded(text: Column, rules: Sequence[tuple[int, str]], leaf: Callable, empty: Column) -> Column:
+    def look_up(literal: Column, i: Column) -> Column:
+        match = F.get(_WORDING, _index(F.array_position(_KEYS, literal)))
+        return F.when(match.isNotNull(), _entry(i + start, match, positions))
+
+    return F.when(F.size(_KEYS) > 0, F.array_compact(F.transform(wanted, look_up))).otherwise(empty)
+
+
+def _guarded(text: Column, rules: Sequence[tuple[int, str]], positions: bool, empty: Column) -> Column:
     if len(rules) <= FANOUT:
         found = F.array(
-            *[F.when(text.rlike(jvm_pattern(rule)), leaf(i, jvm_pattern(rule))) for i, rule in rules]
+            *[
+                F.when(
+                    text.rlike(jvm_pattern(rule)),
+                    _entry(F.lit(i), F.regexp_extract(text, jvm_pattern(rule), 0), positions),
+                )
+                for i, rule in rules
+            ]
         )
+        if len(rules) == 1:
+            return found
     else:
         step = -(-len(rules) // FANOUT)
         parts = [rules[i : i + step] for i in range(0, len(rules), step)]
-        found = F.concat(*[_guarded(text, part, leaf, empty) for part in parts])
+        found = F.concat(*[_guarded(text, part, positions, empty) for part in parts])
     return F.when(any_rule(text, [rule for _, rule in rules]), found).otherwise(empty)
 
 
-def rule_evidence(text: Column, rules: Sequence[str]) -> Column:
-    """One entry per rule found, in rule order: its first match in original case.
-
-    Overlapping rules all count. Rules sit under a tree of shared guards: a text
-    without hits costs one scan, one with a few hits a few scans per level.
-    """
-    if not rules:
-        return empty_strings()
-    numbered = list(enumerate(rules))
-    tree = _guarded(text, numbered, lambda i, pattern: F.regexp_extract(text, pattern, 0), empty_strings())
-    return F.array_compact(tree)
-
-
-def rule_hits(text: Column, rules: Sequence[str]) -> Column:
-    """Like :func:`rule_evidence`, with the position of the rule in its list."""
-    empty = F.array().cast(_HITS)
-    if not rules:
-        return empty
-    tree = _guarded(
-        text,
-        list(enumerate(rules)),
-        lambda i, pattern: F.struct(F.lit(i).alias("ord"), F.regexp_extract(text, pattern, 0).alias("match")),
-        empty,
-    )
-    return F.array_compact(tree)
-
-
-def language(evidence: dict[str, Column]) -> Column:
+def language(evidence: Mapping[str, Column]) -> Column:
     """The list that hit, ``both`` if several did, else ``unknown``."""
     hits = {lang: F.size(found) > 0 for lang, found in evidence.items()}
     lists_hit = sum((h.cast("int") for h in hits.values()), F.lit(0))

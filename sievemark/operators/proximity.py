@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sievemark.functions.regex import FLAGS, anywhere_pattern, union_pattern, word_list_body
+from sievemark.functions.regex import FLAGS, folded, union_pattern, word_list_body
 
 
 def whole_words(terms: Sequence[str]) -> list[str]:
@@ -20,30 +20,37 @@ def whole_words(terms: Sequence[str]) -> list[str]:
     return [rf"\b{t}\b" if t.isalnum() else rf"\b(?:{t})\b" for t in terms]
 
 
-def may_hold_amplifier(text: Column, amplifiers: Sequence[str]) -> Column:
-    """False only if no slice of the text can hold an amplifier.
-
-    A slice may start or end inside a word, so word boundaries are not asked for.
-    """
-    pattern = anywhere_pattern(amplifiers)
-    return text.rlike(pattern) if pattern else F.lit(True)
-
-
 def amplifier_pattern(amplifiers: Sequence[str]) -> str:
     """Found iff an amplifier word occurs (yes/no only)."""
     return union_pattern(whole_words(amplifiers))
 
 
-def boosted(text: Column, lowered: Column, hits: Column, amplifiers: str, window: int) -> Column:
-    """An amplifier lies within ``window`` characters of a hit's first place."""
-
-    def near(hit: Column) -> Column:
-        at = F.position(F.lower(hit), lowered)
-        start = F.greatest(at - window, F.lit(1))
-        snippet = F.substring(text, start, at + F.length(hit) + window - start)
-        return (at > 0) & snippet.rlike(amplifiers)
+def boosted(
+    text: Column,
+    lowered: Column,
+    hits: Column,
+    amplifiers: str,
+    window: int,
+    entities: Sequence[str] | None = None,
+) -> Column:
+    """An amplifier lies within ``window`` characters of a hit's first place.
 
-    return F.exists(F.array_distinct(hits), near)
+    With ``entities`` (literal words), only hits that are one of them count.
+    """
+    hits = F.array_distinct(hits)
+    if entities is not None:
+        wanted = F.split(F.lit("\n".join(entities)), "\n")
+        hits = F.filter(hits, lambda hit: F.array_contains(wanted, folded(hit)))
+    places = F.transform(
+        hits, lambda hit: F.struct(F.position(F.lower(hit), lowered).alias("at"), F.length(hit).alias("size"))
+    )
+
+    def near(place: Column) -> Column:
+        start = F.greatest(place["at"] - window, F.lit(1))
+        snippet = F.substring(text, start, place["at"] + place["size"] + window - start)
+        return (place["at"] > 0) & snippet.rlike(amplifiers)
+
+    return F.exists(places, near)
 
 
 def targeted(lowered: Column, entities: Sequence[str], amplifiers: str, window: int) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.text import empty_strings, iso_utc, preview, quoted_sample, sample
-from sievemark.operators.evidence import rule_hits
+from sievemark.operators.evidence import with_evidence
 from sievemark.operators.scores import CATEGORY_TYPE
 from sievemark.packs import RulePack
 
@@ -191,13 +191,18 @@ def rule_statistics(documents: DataFrame, pack: RulePack, text: str = "text") ->
     lists += [("category", c.name, c.rules) for c in pack.categories]
     lists = [entry for entry in lists if entry[2]]
 
-    def tagged(i: int, rules: Sequence[str]) -> Column:
-        return F.transform(
-            rule_hits(F.col(text), rules), lambda hit: F.struct(F.lit(i).alias("list"), hit["ord"].alias("ord"))
-        )
+    found = with_evidence(
+        documents.select(F.col(text).alias("text")),
+        {f"list{i}": rules for i, (_, _, rules) in enumerate(lists)},
+        F.col("text"),
+        positions=True,
+    )
+
+    def tagged(i: int) -> Column:
+        return F.transform(f"list{i}", lambda hit: F.struct(F.lit(i).alias("list"), hit["ord"].alias("ord")))
 
-    per_list = [tagged(i, rules) for i, (_, _, rules) in enumerate(lists)]
-    hits = documents.select(F.explode(F.concat(*per_list)).alias("hit")).groupBy("hit").count()
+    per_list = [tagged(i) for i in range(len(lists))]
+    hits = found.select(F.explode(F.concat(*per_list)).alias("hit")).groupBy("hit").count()
     names = F.array(*[F.lit(kind) for kind, _, _ in lists]), F.array(*[F.lit(name) for _, name, _ in lists])
     patterns = F.array(*[F.array(*[F.lit(rule) for rule in rules]) for _, _, rules in lists])
     return hits.select(

@@ -68,61 +68,70 @@ def with_category_scores(
     return documents.join(wide.select(*keys, known.alias(CATEGORY_SCORES)), list(keys), "left")
 
 
-def score_explicit(documents: DataFrame, make_scorer: Callable[[], ExplicitScorer], text: str = "text") -> DataFrame:
-    """Score with a model held once per worker; a failing batch gives nulls."""
+def _tolerant(make_scorer: Callable) -> Callable[[], Callable]:
+    """A loader of the scorer that gives None for what cannot be scored.
+
+    Everything is nested, so that the tasks get it by value and workers need
+    not have this package installed.
+    """
+
+    def load() -> Callable[[list[str]], list]:
+        try:
+            scorer = make_scorer()
+        except Exception:  # no model: go on with rules only
+            return lambda texts: [None] * len(texts)
+
+        def one(text: str):
+            try:
+                return scorer([text])[0]
+            except Exception:
+                return None
+
+        def score(texts: list[str]) -> list:
+            try:
+                return list(scorer(texts))
+            except Exception:  # one bad text must not cost the whole batch
+                return [one(t) for t in texts]
+
+        return score
+
+    return load
+
+
+def score_explicit(
+    documents: DataFrame, make_scorer: Callable[[], ExplicitScorer], text: str = "text"
+) -> DataFrame:
+    """Score with a model held once per task; a text that fails gives nulls."""
+    load = _tolerant(make_scorer)
 
     @F.pandas_udf(EXPLICIT_TYPE)
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = _load(make_scorer)
+        score = load()
         for texts in batches:
-            rows = _safely(scorer, texts)
-            best = [max(r, key=lambda pair: pair[1]) if r else (None, None) for r in rows]
-            yield pd.DataFrame(
-                {"label": [b[0].upper() if b[0] else None for b in best], "score": [b[1] for b in best]}
-            ).astype({"label": "object", "score": "float64"})
+            best = [max(r, key=lambda p: p[1]) if r else (None, None) for r in score(list(texts))]
+            labels = pd.Series([b[0].upper() if b[0] else None for b in best], dtype="object")
+            yield pd.DataFrame({"label": labels, "score": pd.Series([b[1] for b in best], dtype="float64")})
 
-    shown = scored(F.substring(text, 1, EXPLICIT_CHARS))
-    return documents.withColumn(EXPLICIT_SCORE, F.when(shown["score"].isNotNull(), shown))
+    shown = documents.withColumn("__score", scored(F.substring(text, 1, EXPLICIT_CHARS)))
+    best = F.when(F.col("__score.label").isNotNull(), F.col("__score"))
+    return shown.withColumn(EXPLICIT_SCORE, best).drop("__score")
 
 
 def score_categories(
     documents: DataFrame, make_scorer: Callable[[], CategoryScorer], text: str = "text"
 ) -> DataFrame:
-    """Zero-shot scores per label; a failing batch gives empty maps."""
+    """Zero-shot scores per label; a text that fails gives an empty map."""
+    load = _tolerant(make_scorer)
 
     @F.pandas_udf(CATEGORY_TYPE)
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = _load(make_scorer)
+        score = load()
         for texts in batches:
-            yield pd.Series([dict(r or {}) for r in _safely(scorer, texts)], dtype="object")
+            yield pd.Series([dict(r or {}) for r in score(list(texts))], dtype="object")
 
     return documents.withColumn(CATEGORY_SCORES, scored(F.substring(text, 1, CATEGORY_CHARS)))
 
 
-def _load(make_scorer):
-    try:
-        return make_scorer()
-    except Exception:  # no model: go on with rules only
-        return None
-
-
-def _safely(scorer, texts: pd.Series) -> list:
-    """Results of one batch; if it fails, each text is tried on its own."""
-    if scorer is None:
-        return [None] * len(texts)
-    try:
-        return list(scorer(list(texts)))
-    except Exception:  # one bad text must not cost the whole batch
-        return [_one(scorer, t) for t in texts]
-
-
-def _one(scorer, text):
-    try:
-        return scorer([text])[0]
-    except Exception:
-        return None
-
-
 def flagged_by_score(score: Column, pack: RulePack, threshold: float) -> Column:
     """The best label is a toxic one and its score reaches the threshold."""
     return F.coalesce(F.upper(score["label"]).isin(*pack.toxic_labels) & (score["score"] >= threshold), F.lit(False))

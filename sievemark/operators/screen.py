@@ -7,19 +7,13 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.functions.regex import any_rule
+from sievemark.functions.regex import any_rule, independent_words
 from sievemark.functions.text import empty_strings
 from sievemark.operators import verify
-from sievemark.operators.evidence import entity_hits, language, rule_evidence
-from sievemark.operators.proximity import (
-    amplifier_pattern,
-    boosted,
-    may_hold_amplifier,
-    targeted,
-    whole_words,
-)
+from sievemark.operators.evidence import entity_hits, language, with_evidence
+from sievemark.operators.proximity import amplifier_pattern, boosted, targeted, whole_words
 from sievemark.operators.scores import CATEGORY_SCORES, CATEGORY_TYPE, EXPLICIT_SCORE, flagged_by_score
-from sievemark.packs import RulePack
+from sievemark.packs import Category, RulePack
 
 
 @dataclass(frozen=True)
@@ -62,16 +56,6 @@ def _settled(df: DataFrame, results: dict[str, Column]) -> DataFrame:
     return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in results.items()]))))
 
 
-def _explicit_stages(df: DataFrame, pack: RulePack) -> DataFrame:
-    text, ruled = _col("text"), _col("ruled")
-    return df.withColumns(
-        {
-            _name("explicit", lang): F.when(ruled, rule_evidence(text, rules)).otherwise(empty_strings())
-            for lang, rules in pack.explicit
-        }
-    )
-
-
 def _explicit_result(pack: RulePack, config: ScreenConfig, score: Column | None) -> Column:
     evidence = {lang: _col("explicit", lang) for lang, _ in pack.explicit}
     matched = F.concat(empty_strings(), *evidence.values())
@@ -91,9 +75,8 @@ def _category_stages(
     df: DataFrame, pack: RulePack, config: ScreenConfig, scores: Column | None
 ) -> DataFrame:
     """One projection per dependency level; each intermediate is computed once."""
-    text, hit, low, ruled = _col("text"), _col("hit"), _col("low"), _col("ruled")
+    text, hit, low = _col("text"), _col("hit"), _col("low")
     amplifiers = amplifier_pattern(pack.amplifiers) if pack.amplifiers else None
-    names = [c.name for c in pack.categories]
 
     def by_score(label: str | None) -> Column:
         if scores is None or label is None:
@@ -103,49 +86,33 @@ def _category_stages(
     def enough(name: str) -> Column:
         return F.size(_col("rules", name)) >= config.keyword_threshold
 
-    insult = may_hold_amplifier(text, pack.amplifiers) if amplifiers else F.lit(False)
-    df = df.withColumns(
-        {
-            _name("rules", c.name): F.when(ruled, rule_evidence(text, c.rules)).otherwise(empty_strings())
-            for c in pack.categories
-        }
-        | {_name("insult"): hit & insult}
-    )
-    df = df.withColumns(
-        {
-            _name("entities", c.name): F.when(
-                _col("insult") & ~enough(c.name), entity_hits(text, c.entities)
-            ).otherwise(empty_strings())
-            for c in pack.categories
-        }
-        | {
-            _name("low"): F.when(
-                hit | (by_score(pack.verified.score_label) if pack.verified else F.lit(False)), F.lower(text)
-            )
-        }
-    )
-    df = df.withColumns(
-        {
-            _name("boost", name): (F.size(_col("entities", name)) > 0)
-            & boosted(text, low, _col("entities", name), amplifiers, config.context_window)
-            if amplifiers
-            else F.lit(False)
-            for name in names
-        }
-    )
+    def near_insult(category: Category) -> Column:
+        if not (amplifiers and category.entities):
+            return F.lit(False)
+        words = independent_words(category.entities)
+        if words is None:
+            found = entity_hits(text, category.entities)
+            near = boosted(text, low, found, amplifiers, config.context_window)
+        else:
+            near = boosted(text, low, _col("words"), amplifiers, config.context_window, words)
+        return hit & ~enough(category.name) & near
+
+    read_lower = hit | (by_score(pack.verified.score_label) if pack.verified else F.lit(False))
+    df = df.withColumn(_name("low"), F.when(read_lower, F.lower(text)))
+    df = df.withColumns({_name("boost", c.name): near_insult(c) for c in pack.categories})
     df = df.withColumns(
         {
             _name("raised", c.name): enough(c.name) | _col("boost", c.name) | by_score(c.score_label)
             for c in pack.categories
         }
         | {
-            _name("matches", name): F.when(
-                _col("boost", name),
+            _name("matches", c.name): F.when(
+                _col("boost", c.name),
                 F.concat(
-                    _col("rules", name), F.slice(_col("entities", name), 1, config.boost_evidence)
+                    _col("rules", c.name), F.slice(entity_hits(text, c.entities), 1, config.boost_evidence)
                 ),
-            ).otherwise(_col("rules", name))
-            for name in names
+            ).otherwise(_col("rules", c.name))
+            for c in pack.categories
         }
     )
     checked = pack.verified
@@ -232,20 +199,23 @@ def screen(
     """
     explicit_score = F.col(EXPLICIT_SCORE) if config.use_ml and EXPLICIT_SCORE in documents.columns else None
     category_scores = F.col(CATEGORY_SCORES) if config.use_ml and CATEGORY_SCORES in documents.columns else None
-    rules: list[str] = []
+    lists: dict[str, tuple[str, ...]] = {}
     entities: list[str] = []
     if not config.skip_explicit:
-        rules += [rule for _, patterns in pack.explicit for rule in patterns]
+        lists |= {_name("explicit", lang): rules for lang, rules in pack.explicit}
     if not config.skip_categories:
-        rules += [rule for c in pack.categories for rule in c.rules]
-        entities += whole_words([e for c in pack.categories for e in c.entities])
+        lists |= {_name("rules", c.name): c.rules for c in pack.categories}
+        entities += [e for c in pack.categories for e in c.entities]
+    rules = [rule for patterns in lists.values() for rule in patterns]
+    words = [w for c in pack.categories if entities for w in independent_words(c.entities) or ()]
     df = documents.withColumn(_name("text"), F.coalesce(F.col(text), F.lit("")))
-    df = df.withColumn(_name("hit"), any_rule(_col("text"), rules + entities))
-    df = df.withColumn(_name("ruled"), _col("hit") & (any_rule(_col("text"), rules) if entities else F.lit(True)))
+    df = df.withColumn(_name("hit"), any_rule(_col("text"), rules + whole_words(entities)))
+    df = with_evidence(
+        df, lists, _col("text"), guard=_col("hit"), words=words, words_column=_name("words") if words else None
+    )
     results: dict[str, Column] = {}
     flagged = F.lit(False)
     if not config.skip_explicit:
-        df = _explicit_stages(df, pack)
         results["explicit"] = _explicit_result(pack, config, explicit_score)
     if not config.skip_categories:
         df = _category_stages(df, pack, config, category_scores)

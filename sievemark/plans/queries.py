@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievemark.operators import report, review
 from sievemark.operators.evaluate import confusion, pass_counts, passes
-from sievemark.operators.evidence import entity_hits, rule_evidence
+from sievemark.operators.evidence import entity_hits, with_evidence
 from sievemark.operators.proximity import amplifier_pattern, boosted
 from sievemark.operators.scores import (
     score_categories,
@@ -25,6 +25,7 @@ from sievemark.sources import sinks
 from sievemark.sources.corpus import read_corpus
 from sievemark.sources.lines import read_lines, stream_lines
 from sievemark.sources.numbering import located
+from sievemark.sources.tables import spread
 from sievemark.streaming.screening import numbered_batches, running_counters, screen_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +50,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents")
+    return spread(_table(spark, sf_dir, "documents"))
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,11 +138,9 @@ def category_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def category_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule evidence per category before any boost."""
-    documents = _documents(spark, sf_dir)
-    return documents.select(
-        "doc_id",
-        *[_joined(rule_evidence(F.col("text"), c.rules)).alias(f"{c.name}_rules") for c in NEUTRAL.categories],
-    )
+    lists = {f"{c.name}_rules": c.rules for c in NEUTRAL.categories}
+    found = with_evidence(_documents(spark, sf_dir), lists, F.col("text"))
+    return found.select("doc_id", *[_joined(name).alias(name) for name in lists])
 
 
 @query
@@ -175,13 +174,13 @@ def boost_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conversation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = screen(_table(spark, sf_dir, "conversations"), NEUTRAL)
+    scored = screen(spread(_table(spark, sf_dir, "conversations")), NEUTRAL)
     return scored.select("conv_id", "turn", *_decision_columns())
 
 
 @query
 def page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = screen(_table(spark, sf_dir, "pages"), NEUTRAL, text="html")
+    scored = screen(spread(_table(spark, sf_dir, "pages")), NEUTRAL, text="html")
     return scored.select("page_id", *_decision_columns())
 
 
