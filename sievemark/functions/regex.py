@@ -19,10 +19,13 @@ FLAGS = "(?idU)"
 
 # A word character as Python sees it (str.isalnum or underscore).
 WORD = r"[\p{L}\p{N}_]"
-_NOT_AFTER_WORD = f"(?<!{WORD})"
+# Java looks behind by whole characters only if the lookbehind names one beyond
+# the basic plane; this letter adds nothing to the class.
+_BEHIND = "[\\p{L}\\p{N}_\U00010400]"
+_NOT_AFTER_WORD = f"(?<!{_BEHIND})"
 _NOT_BEFORE_WORD = f"(?!{WORD})"
-_BOUNDARY = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
-_NON_BOUNDARY = f"(?:(?<={WORD})(?={WORD})|(?<!{WORD})(?!{WORD}))"
+_BOUNDARY = f"(?:(?<={_BEHIND})(?!{WORD})|(?<!{_BEHIND})(?={WORD}))"
+_NON_BOUNDARY = f"(?:(?<={_BEHIND})(?={WORD})|(?<!{_BEHIND})(?!{WORD}))"
 
 _OUTSIDE_CLASS = {
     r"\B": _NON_BOUNDARY,
