@@ -49,21 +49,28 @@ def run(
     stem: str = "dataset",
     config: ScreenConfig = ScreenConfig(),
     text_only: bool = True,
+    ordered: bool = False,
 ) -> DataFrame:
     """Screen ``documents(dataset_id, line_no, text, …)`` into ``output``.
 
     Writes the scored table, the cleaned corpus (unless switched off) and the
     reports, and returns the one-row summary. Everything after the scored table
-    reads only the part and the columns it needs.
+    reads only the part and the columns it needs. Files follow the input within
+    each task; with ``ordered`` the outputs are sorted by key as a whole, which
+    shuffles them.
     """
     started = time.monotonic()
     output = output.rstrip("/")
     scored = write_scored(screen(documents, pack, config), f"{output}/scored")
+
+    def arranged(df: DataFrame) -> DataFrame:
+        return df.orderBy("dataset_id", "line_no") if ordered else df
+
     cleaned = sinks.cleaned_path(output, stem) if config.write_cleaned else None
     if cleaned:
-        sinks.write_cleaned(scored.where(F.col("keep")), cleaned, text_only)
-    sinks.write_jsonl(flagged_detail(scored, pack), f"{output}/reports/{DETAIL_NAME}")
-    sinks.write_csv(flagged_table(scored, pack), f"{output}/reports/{TABLE_NAME}")
+        sinks.write_cleaned(arranged(scored.where(F.col("keep"))), cleaned, text_only)
+    sinks.write_jsonl(arranged(flagged_detail(scored, pack)), f"{output}/reports/{DETAIL_NAME}")
+    sinks.write_csv(arranged(flagged_table(scored, pack)), f"{output}/reports/{TABLE_NAME}")
     summary_path = f"{output}/reports/{SUMMARY_NAME}"
     summary = run_summary(scored, pack, time.monotonic() - started, cleaned)
     sinks.write_summary(summary, summary_path)
