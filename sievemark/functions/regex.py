@@ -19,6 +19,7 @@ FLAGS = "(?idU)"
 
 # A word character as Python sees it (str.isalnum or underscore).
 WORD = r"[\p{L}\p{N}_]"
+SEPARATOR = r"[^\p{L}\p{N}_]"
 # Java looks behind by whole characters only if the lookbehind names one beyond
 # the basic plane; this letter adds nothing to the class.
 _BEHIND = "[\\p{L}\\p{N}_\U00010400]"
@@ -90,13 +91,26 @@ def word_list_rule(terms: Sequence[str]) -> str:
     return r"\b(?:" + "|".join(terms) + r")\b"
 
 
-def word_list_body(terms: Sequence[str]) -> str:
-    """The same in Java syntax, with the plain boundary tests where they suffice."""
+def word_hits(text: Column, terms: Sequence[str]) -> Column:
+    """All non-overlapping hits of a word list, in text order."""
     atoms = [_ATOM.findall(t) for t in terms]
-    simple = all("".join(a) == t for a, t in zip(atoms, terms))
-    before = _NOT_AFTER_WORD if simple and all(_is_word_char(a[0]) for a in atoms) else _BOUNDARY
+    simple = all("".join(a) == t and _is_word_char(a[0]) for a, t in zip(atoms, terms))
+    body = "|".join(jvm_body(t) for t in terms)
     after = _NOT_BEFORE_WORD if simple and all(_is_word_char(a[-1]) for a in atoms) else _BOUNDARY
-    return before + "(?:" + "|".join(jvm_body(t) for t in terms) + ")" + after
+    if simple:
+        # Reading the separator before a word is cheaper than looking behind.
+        return F.regexp_extract_all(_spaced(text), F.lit(f"{FLAGS}{SEPARATOR}({body}){after}"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(f"{FLAGS}{_BOUNDARY}(?:{body}){after}"), F.lit(0))
+
+
+def word_list_body(terms: Sequence[str]) -> str:
+    """A word list in Java syntax, for use inside larger patterns."""
+    return jvm_body(word_list_rule(terms))
+
+
+def _spaced(text: Column) -> Column:
+    """The text behind a space, so that its first word too follows a separator."""
+    return F.concat(F.lit(" "), text)
 
 
 # --- unions ------------------------------------------------------------------
@@ -133,33 +147,29 @@ def _shared_prefixes(sequences: Iterable[Sequence[str]]) -> str:
     return render(root)
 
 
-def union_pattern(rules: Sequence[str]) -> str | None:
-    """One pattern that is found iff at least one of the (union-able) rules is.
+def any_rule(text: Column, rules: Sequence[str]) -> Column:
+    """True iff any rule is found in ``text``; null text gives null.
 
-    Only the yes/no answer is equivalent: which rule hit, and what it covered,
-    is not kept.
+    Whole-word rules become one alternation with shared prefixes, tried only
+    behind separators; other rules a second one. Only the yes/no answer is
+    kept: not which rule hit, nor what it covered.
     """
-    words, others = [], []
-    for rule in rules:
-        if _NEEDS_OWN_SCAN.search(rule):
-            continue
+    words, others, alone = [], [], []
+    for rule in dict.fromkeys(rules):
         atoms = _whole_word_atoms(rule)
-        if atoms is not None:
+        if _NEEDS_OWN_SCAN.search(rule):
+            alone.append(text.rlike(jvm_pattern(rule)))
+        elif atoms is not None:
             words.append(atoms)
         else:
             others.append(f"(?:{jvm_body(rule)})")
-    parts = []
+    tests = []
     if words:
-        parts.append(f"{_NOT_AFTER_WORD}{_shared_prefixes(words)}{_NOT_BEFORE_WORD}")
-    parts.extend(dict.fromkeys(others))
-    return FLAGS + "(?:" + "|".join(parts) + ")" if parts else None
-
-
-def any_rule(text: Column, rules: Sequence[str]) -> Column:
-    """True iff any rule is found in ``text``; null text gives null."""
-    union = union_pattern(rules)
-    tests = [text.rlike(union)] if union else []
-    tests += [text.rlike(jvm_pattern(r)) for r in rules if _NEEDS_OWN_SCAN.search(r)]
+        pattern = f"{FLAGS}{SEPARATOR}{_shared_prefixes(words)}{_NOT_BEFORE_WORD}"
+        tests.append(_spaced(text).rlike(pattern))
+    if others:
+        tests.append(text.rlike(FLAGS + "|".join(others)))
+    tests += alone
     return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
@@ -200,10 +210,11 @@ def begun_by(literals: Iterable[str]) -> dict[str, list[int]]:
     return {literal: found for literal, found in lengths.items() if found}
 
 
-def literal_finder(literals: Sequence[str]) -> str:
-    """Zero-width pattern whose group 1 is the longest literal at each place."""
+def literal_hits(text: Column, literals: Sequence[str]) -> Column:
+    """The longest literal at each place that has one, in text order."""
     escaped = [[c if c.isalnum() or c in " _" else "\\" + c for c in literal] for literal in literals]
-    return f"{FLAGS}{_NOT_AFTER_WORD}(?=({_shared_prefixes(escaped)}){_NOT_BEFORE_WORD})"
+    pattern = f"{FLAGS}{SEPARATOR}(?=({_shared_prefixes(escaped)}){_NOT_BEFORE_WORD})"
+    return F.regexp_extract_all(_spaced(text), F.lit(pattern), F.lit(1))
 
 
 def word_starts_inside(literal: str) -> list[str]:

@@ -11,14 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.regex import (
-    FLAGS,
     any_rule,
     begun_by,
     folded,
     jvm_pattern,
-    literal_finder,
+    literal_hits,
     literal_of,
-    word_list_body,
+    word_hits,
 )
 from sievemark.functions.text import STRINGS, empty_strings
 
@@ -71,8 +70,8 @@ def _with_literals_found(
     """Add the distinct literals found, and the first wording of each."""
     if not literals:
         return df.withColumns({_KEYS: empty_strings(), _WORDING: empty_strings()})
-    hits = F.regexp_extract_all(text, F.lit(literal_finder(literals)), F.lit(1))
-    df = df.withColumn(_HITS, F.when(guard, hits).otherwise(empty_strings()))
+    hits = F.when(guard, literal_hits(text, literals)).otherwise(empty_strings())
+    df = df.withColumn(_HITS, hits)
     beginnings = begun_by(literals)
     if beginnings:
         # A long hit is also a hit of each literal it begins with.
@@ -160,4 +159,4 @@ def entity_hits(text: Column, entities: Sequence[str]) -> Column:
     """All entity words in text order, repeats included."""
     if not entities:
         return empty_strings()
-    return F.regexp_extract_all(text, F.lit(FLAGS + word_list_body(entities)), F.lit(0)).cast(STRINGS)
+    return word_hits(text, entities).cast(STRINGS)

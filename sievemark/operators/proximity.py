@@ -12,24 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sievemark.functions.regex import FLAGS, folded, union_pattern, word_list_body
+from sievemark.functions.regex import FLAGS, any_rule, folded, word_list_body
 
 
 def whole_words(terms: Sequence[str]) -> list[str]:
     """Each lexicon term as a rule of its own."""
-    return [rf"\b{t}\b" if t.isalnum() else rf"\b(?:{t})\b" for t in terms]
-
-
-def amplifier_pattern(amplifiers: Sequence[str]) -> str:
-    """Found iff an amplifier word occurs (yes/no only)."""
-    return union_pattern(whole_words(amplifiers))
+    return [rf"\b(?:{t})\b" if "|" in t else rf"\b{t}\b" for t in terms]
 
 
 def boosted(
     text: Column,
     lowered: Column,
     hits: Column,
-    amplifiers: str,
+    amplifiers: Sequence[str],
     window: int,
     entities: Sequence[str] | None = None,
 ) -> Column:
@@ -48,19 +43,19 @@ def boosted(
     def near(place: Column) -> Column:
         start = F.greatest(place["at"] - window, F.lit(1))
         snippet = F.substring(text, start, place["at"] + place["size"] + window - start)
-        return (place["at"] > 0) & snippet.rlike(amplifiers)
+        return (place["at"] > 0) & any_rule(snippet, whole_words(amplifiers))
 
     return F.exists(places, near)
 
 
-def targeted(lowered: Column, entities: Sequence[str], amplifiers: str, window: int) -> Column:
+def targeted(lowered: Column, entities: Sequence[str], amplifiers: Sequence[str], window: int) -> Column:
     """An amplifier lies within ``window`` characters of some entity occurrence.
 
     Both windows are captured by lookarounds while the entities are matched one
     after the other. The left part may be ``2 * window`` code units long, as
     rare characters take two, and is cut to ``window`` characters afterwards.
     """
-    if not entities:
+    if not (entities and amplifiers):
         return F.lit(False)
     entity = word_list_body(entities)
     before = rf"(?<=(\A.{{0,{2 * window}}}|.{{{window},{2 * window}}}))"
@@ -69,4 +64,4 @@ def targeted(lowered: Column, entities: Sequence[str], amplifiers: str, window:
     left = F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1))
     right = F.regexp_extract_all(lowered, F.lit(with_word), F.lit(1))
     windows = F.zip_with(left, right, lambda a, b: F.concat(F.right(a, F.lit(window)), b))
-    return F.exists(windows, lambda w: w.rlike(amplifiers))
+    return F.exists(windows, lambda w: any_rule(w, whole_words(amplifiers)))

@@ -11,7 +11,7 @@ from sievemark.functions.regex import any_rule, independent_words
 from sievemark.functions.text import empty_strings
 from sievemark.operators import verify
 from sievemark.operators.evidence import entity_hits, language, with_evidence
-from sievemark.operators.proximity import amplifier_pattern, boosted, targeted, whole_words
+from sievemark.operators.proximity import boosted, targeted, whole_words
 from sievemark.operators.scores import CATEGORY_SCORES, CATEGORY_TYPE, EXPLICIT_SCORE, flagged_by_score
 from sievemark.packs import Category, RulePack
 
@@ -76,7 +76,7 @@ def _category_stages(
 ) -> DataFrame:
     """One projection per dependency level; each intermediate is computed once."""
     text, hit, low = _col("text"), _col("hit"), _col("low")
-    amplifiers = amplifier_pattern(pack.amplifiers) if pack.amplifiers else None
+    amplifiers = pack.amplifiers
 
     def by_score(label: str | None) -> Column:
         if scores is None or label is None:
@@ -127,11 +127,7 @@ def _category_stages(
             _name("insults"): F.when(open_case, verify.word_count(low, pack.amplifiers)).otherwise(0),
         }
     )
-    at_entity = (
-        targeted(low, checked.verify_entities, amplifiers, config.target_window)
-        if amplifiers
-        else F.lit(False)
-    )
+    at_entity = targeted(low, checked.verify_entities, amplifiers, config.target_window)
     df = df.withColumn(
         _name("targeted"),
         open_case & ~verify.rescued_by_words(safe, insults) & at_entity,

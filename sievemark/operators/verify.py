@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sievemark.functions.regex import FLAGS, any_rule, word_list_body
+from sievemark.functions.regex import any_rule, word_hits
 from sievemark.operators.proximity import whole_words
 from sievemark.packs import Category, RulePack
 
@@ -26,7 +26,7 @@ def word_count(lowered: Column, terms: tuple[str, ...]) -> Column:
     """Number of non-overlapping lexicon words."""
     if not terms:
         return F.lit(0)
-    return F.regexp_count(lowered, F.lit(FLAGS + word_list_body(terms)))
+    return F.size(word_hits(lowered, terms))
 
 
 def rescued_by_words(safe: Column, insults: Column) -> Column:

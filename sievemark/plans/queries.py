@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sievemark.operators import report, review
 from sievemark.operators.evaluate import confusion, pass_counts, passes
 from sievemark.operators.evidence import entity_hits, with_evidence
-from sievemark.operators.proximity import amplifier_pattern, boosted
+from sievemark.operators.proximity import boosted
 from sievemark.operators.scores import (
     score_categories,
     score_explicit,
@@ -162,11 +162,10 @@ def boost_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower("text").alias("low"),
         *[entity_hits(F.col("text"), c.entities).alias(c.name) for c in NEUTRAL.categories],
     )
-    insult = amplifier_pattern(NEUTRAL.amplifiers)
     return entities.select(
         "doc_id",
         *[
-            boosted(F.col("text"), F.col("low"), F.col(name), insult, 80).alias(f"{name}_boost")
+            boosted(F.col("text"), F.col("low"), F.col(name), NEUTRAL.amplifiers, 80).alias(f"{name}_boost")
             for name in CATEGORIES
         ],
     )

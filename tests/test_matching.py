@@ -15,7 +15,6 @@ from sievemark.functions.regex import (
     independent_words,
     jvm_pattern,
     literal_of,
-    union_pattern,
 )
 from sievemark.operators.evidence import entity_hits, with_evidence
 
@@ -125,11 +124,18 @@ def test_null_text_and_empty_lists(spark):
     assert [(r.none, r.some) for r in rows] == [([], []), ([], ["x", "x"])]
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from(RULES), min_size=1, max_size=8))
-def test_union_keeps_every_plain_rule(rules):
-    pattern = union_pattern(rules)
-    assert pattern is not None or all(r == r"(a)\1" for r in rules)
+WORDS = ["kisi", "sak", "is", "i.s", "don't", "sak-is"]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(WORDS), min_size=1, max_size=3).map(" ".join), min_size=1, max_size=8))
+def test_independent_words_never_share_text(terms):
+    independent = independent_words([re.escape(t) for t in terms])
+    if independent is None:
+        return
+    for text in texts(150, 3):
+        everywhere = sum(len(words([re.escape(t)]).findall(text)) for t in independent)
+        assert everywhere == len(words([re.escape(t) for t in independent]).findall(text))
 
 
 def test_literals():
