@@ -109,8 +109,14 @@ def _key_bytes(keys: Sequence[str]) -> Column:
 def reapply_counts(
     documents: DataFrame, flagged: DataFrame, decisions: DataFrame, keys: Sequence[str] = KEYS
 ) -> DataFrame:
-    """``records_written`` and ``records_removed`` (removed keys, not dropped rows)."""
-    removed = removed_keys(flagged, decisions, keys)
-    written = documents.join(removed, list(keys), "left_anti").agg(F.count(F.lit(1)).alias("records_written"))
-    # Two one-row results side by side.
-    return written.join(removed.agg(F.count(F.lit(1)).alias("records_removed")), how="cross")
+    """``records_written`` and ``records_removed`` (removed keys, not dropped rows).
+
+    Keys meet in one full join; texts and decisions stay where they are.
+    """
+    present = documents.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    removed = removed_keys(flagged, decisions, keys).withColumn("__removed", F.lit(True))
+    written = F.sum(F.when(F.col("__removed").isNull(), F.col("__rows")))
+    return present.join(removed, list(keys), "full").agg(
+        F.coalesce(written, F.lit(0)).alias("records_written"),
+        F.count("__removed").alias("records_removed"),
+    )

@@ -378,6 +378,16 @@ FROM labels""",
 SELECT 'prose/en/train' AS dataset_id, count(*) AS documents, CAST(sum(doc_id) AS BIGINT) AS ids,
   CAST(1 AS BIGINT) AS first_no, count(*) AS last_no, CAST(count(*) * (count(*) + 1) // 2 AS BIGINT) AS numbers
 FROM documents WHERE lang = 'en' AND doc_id % 10 <> 0""",
+        "rule_file_load": r"""
+WITH kinds AS (SELECT DISTINCT lang, source, lang || '-' || source AS name FROM documents),
+lines AS (
+  SELECT lang, source, CASE source WHEN 'src2' THEN '(' || name WHEN 'src3' THEN '(?P<kind>' || name || ')'
+    ELSE '\b' || name || '\b' END AS pattern
+  FROM kinds WHERE source NOT IN ('src1', 'src4'))
+SELECT 'en' AS lang, 'rule' AS kind, row_number() OVER (ORDER BY lines.lang, source) - 1 AS ord, pattern,
+  CASE source WHEN 'src2' THEN 'invalid regex' WHEN 'src3' THEN 'not supported by the matching engine'
+  ELSE '' END AS reason
+FROM lines""",
         "cleaned_corpus_file": plain + "SELECT text FROM scored WHERE keep",
         "flagged_json_file": keyed + f"SELECT line_no, dataset_id, {DETAIL} FROM scored WHERE NOT keep",
         "flagged_csv_file": keyed + f"SELECT line_no, dataset_id, {TABLE} FROM scored WHERE NOT keep",

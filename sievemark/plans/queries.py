@@ -25,6 +25,7 @@ from sievemark.sources import sinks
 from sievemark.sources.corpus import read_corpus
 from sievemark.sources.lines import read_lines, stream_lines
 from sievemark.sources.numbering import located
+from sievemark.sources.rules import RuleFile, load_rules
 from sievemark.sources.tables import spread
 from sievemark.streaming.screening import numbered_batches, running_counters, screen_to_table
 
@@ -545,6 +546,29 @@ def named_corpus_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def rule_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule file made of the kinds of documents, with comments and bad rules."""
+    path = scratch_path(spark, "rules")
+    kinds = _table(spark, sf_dir, "documents").select("lang", "source").distinct()
+    name = F.concat_ws("-", "lang", "source")
+    line = (
+        F.when(F.col("source") == "src1", F.concat(F.lit("  # "), name))
+        .when(F.col("source") == "src2", F.concat(F.lit("("), name))
+        .when(F.col("source") == "src3", F.concat(F.lit("(?P<kind>"), name, F.lit(")")))
+        .when(F.col("source") == "src4", F.lit("  "))
+        .otherwise(F.concat(F.lit("  \\b"), name, F.lit("\\b ")))
+    )
+    # Only the distinct kinds are left, so one ordered file is enough.
+    kinds.orderBy("lang", "source").select(line.alias("value")).coalesce(1).write.text(path)
+    accepted, rejected = load_rules(spark, [RuleFile(path, lang="en")])
+    columns = [F.col("lang"), F.col("kind"), F.col("ord").cast("long").alias("ord"), F.col("pattern")]
+    reason = F.split("reason", ":")[0]
+    return accepted.select(*columns, F.lit("").alias("reason")).unionByName(
+        rejected.select(*columns, reason.alias("reason"))
+    )
+
+
 def _finished_run(spark: SparkSession, sf_dir: str, name: str) -> str:
     output = scratch_path(spark, name)
     run(_keyed(spark, sf_dir), NEUTRAL, output, stem="documents")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.regex import jvm_pattern, word_list_rule
 from sievemark.functions.text import strip
-from sievemark.packs.model import MAX_RULES, RULES_SCHEMA
+from sievemark.packs.defaults import three_category_pack
+from sievemark.packs.model import MAX_RULES, RULES_SCHEMA, RulePack
 from sievemark.sources.numbering import located, numbered
 
 logger = logging.getLogger(__name__)
@@ -106,3 +107,35 @@ def load_rules(
             else:
                 accepted.append(row)
     return spark.createDataFrame(accepted, RULES_SCHEMA), spark.createDataFrame(rejected, REJECTED_SCHEMA)
+
+
+def usable_rules(spark: SparkSession, path: str, as_words: bool = False) -> list[str]:
+    """The rules of one file without the rejected ones, which are logged."""
+    rules = read_rule_lines(spark, path)
+    reasons = check_rules(spark, [word_list_rule([r]) for r in rules] if as_words else rules)
+    for i, reason in reasons.items():
+        logger.warning("rule skipped (%s): %s", reason, rules[i])
+    return [rule for i, rule in enumerate(rules) if i not in reasons]
+
+
+def load_three_category_pack(
+    spark: SparkSession,
+    explicit: Mapping[str, str],
+    race: str | None = None,
+    religion: str | None = None,
+    royalty: str | None = None,
+    hard: str | None = None,
+) -> RulePack:
+    """The default categories around rule files: explicit ones by language, one
+    per category, and the words that confirm the race category in any context."""
+
+    def rules(path: str | None, as_words: bool = False) -> list[str]:
+        return usable_rules(spark, path, as_words) if path else []
+
+    return three_category_pack(
+        {lang: rules(path) for lang, path in explicit.items()},
+        race=rules(race),
+        religion=rules(religion),
+        royalty=rules(royalty),
+        hard=rules(hard, as_words=True),
+    )

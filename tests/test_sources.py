@@ -10,7 +10,7 @@ from sievemark.packs import RulePack
 from sievemark.sources import sinks
 from sievemark.sources.corpus import read_corpus
 from sievemark.sources.lines import read_lines
-from sievemark.sources.rules import RuleFile, check_rules, load_rules, read_rule_lines
+from sievemark.sources.rules import RuleFile, check_rules, load_rules, load_three_category_pack, read_rule_lines
 
 REJECTED = object()
 
@@ -161,6 +161,21 @@ def test_rule_file(spark, tmp_path):
     assert pack.category("c").entities[0] == r"\bone\b"
 
 
+def test_default_pack_from_files(spark, tmp_path):
+    for name, content in {"en": r"\bfig\b", "race": "# none\n\\bhoot\\b\n(", "hard": "vile owl\n(x\n"}.items():
+        (tmp_path / name).write_text(content)
+    pack = load_three_category_pack(
+        spark,
+        {"en": str(tmp_path / "en"), "bm": str(tmp_path / "missing")},
+        race=str(tmp_path / "race"),
+        hard=str(tmp_path / "hard"),
+    )
+    assert pack.explicit == (("en", (r"\bfig\b",)), ("bm", ()))
+    assert [c.name for c in pack.categories] == ["race", "religion", "royalty"]
+    assert pack.verified.rules == (r"\bhoot\b",) and pack.verified.hard == ("vile owl",)
+    assert len(pack.category("religion").entities) == 18 and len(pack.amplifiers) == 31
+
+
 def test_bad_rules_are_found_one_by_one(spark):
     rules = ["ok%d" % i for i in range(20)]
     for i in (3, 4, 17):
