@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.functions.plans import settled
 from sievemark.functions.regex import any_rule, independent_words
 from sievemark.functions.text import empty_strings
 from sievemark.operators import verify
@@ -46,16 +47,6 @@ def _col(*parts: str) -> Column:
     return F.col(_name(*parts))
 
 
-def _settled(df: DataFrame, results: dict[str, Column]) -> DataFrame:
-    """Add result columns behind a one-row ``inline``.
-
-    A filter on a projected column is otherwise merged into the scan side by
-    substituting its definition, which would run the matching again.
-    """
-    kept = [F.col(c) for c in df.columns if not c.startswith(_PREFIX) and c not in results]
-    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in results.items()]))))
-
-
 def _explicit_result(pack: RulePack, config: ScreenConfig, score: Column | None) -> Column:
     evidence = {lang: _col("explicit", lang) for lang, _ in pack.explicit}
     matched = F.concat(empty_strings(), *evidence.values())
@@ -221,7 +212,8 @@ def screen(
         flagged = flagged | _col("explicit")["is_explicit"]
     if "sensitive" in results:
         flagged = flagged | _col("sensitive")["is_sensitive"]
-    return _settled(df, {name: _col(name) for name in results} | {"keep": ~flagged})
+    decisions = {name: _col(name) for name in results} | {"keep": ~flagged}
+    return settled(df, [c for c in documents.columns if c not in decisions], decisions)
 
 
 def screen_explicit(

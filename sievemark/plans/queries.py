@@ -630,7 +630,7 @@ def custom_cleaned_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _arrived(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The documents as JSON-line files, as if delivered by a producer."""
     path = scratch_path(spark, name)
-    sinks.write_jsonl(_documents(spark, sf_dir).select("doc_id", "text").repartition(4), path)
+    sinks.write_jsonl(_documents(spark, sf_dir).select("doc_id", "text").repartition(16), path)
     return path
 
 
@@ -638,7 +638,7 @@ def _arrived(spark: SparkSession, sf_dir: str, name: str) -> str:
 def stream_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files screened micro-batch by micro-batch into one partitioned table."""
     source = _arrived(spark, sf_dir, "arriving")
-    stream = stream_lines(spark, source, {"doc_id": "long"}, max_files_per_trigger=2).documents
+    stream = stream_lines(spark, source, {"doc_id": "long"}, max_files_per_trigger=8).documents
     table, checkpoint = scratch_path(spark, "streamed"), scratch_path(spark, "streamed-progress")
     screen_to_table(stream, NEUTRAL, table, checkpoint).awaitTermination()
     schema = screen(_documents(spark, sf_dir).select("doc_id", "text"), NEUTRAL).schema
@@ -649,7 +649,7 @@ def stream_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running totals over the stream, as of its last micro-batch."""
     source = _arrived(spark, sf_dir, "counted")
-    stream = stream_lines(spark, source, {"doc_id": "long"}, max_files_per_trigger=1).documents
+    stream = stream_lines(spark, source, {"doc_id": "long"}, max_files_per_trigger=8).documents
     totals, progress = scratch_path(spark, "totals"), scratch_path(spark, "totals-progress")
 
     def publish(batch: DataFrame, batch_id: int) -> None:
@@ -675,7 +675,7 @@ def stream_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _arrived(spark, sf_dir, "numbered")
     target, progress = scratch_path(spark, "numbers"), scratch_path(spark, "numbers-progress")
     number = numbered_batches()
-    scan = spark.readStream.option("maxFilesPerTrigger", 3).text(source)
+    scan = spark.readStream.option("maxFilesPerTrigger", 8).text(source)
     lines = located(scan.select("value", F.col("_metadata.file_name").alias("file"), "_metadata")).drop("_metadata")
 
     def publish(batch: DataFrame, batch_id: int) -> None:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievemark.functions.plans import settled
 from sievemark.functions.text import strip
 from sievemark.sources.numbering import located, numbered
 
@@ -25,23 +26,25 @@ class LineDocuments:
     rejected: DataFrame
 
 
-def _parsed(line: Column) -> Column:
-    """The line as a one-element variant array, or null if it is not strict JSON.
+def _with_json(lines: DataFrame) -> DataFrame:
+    """Add ``__json``: the line as a one-element variant array, if strict JSON.
 
     The parser stops after the first complete value, so the line is wrapped: in
     an array, trailing junk is a syntax error. Only junk that itself closes the
     array could slip through; such lines are checked a second time as a member
-    of an object.
+    of an object. The parsed array is a column of its own, to be built once.
     """
+    line = F.col("__line")
     in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
-    suspicious = line.rlike(r"\}\s*\]")
-    one_value = line.endswith("}") & F.try_variant_get(in_array, "$[1]", "variant").isNull()
-    return F.when(one_value & (~suspicious | in_object.isNotNull()), in_array)
+    lines = lines.withColumn("__array", F.when(line.startswith("{") & line.endswith("}"), in_array))
+    one_value = F.try_variant_get("__array", "$[1]", "variant").isNull()
+    whole = one_value & (~line.rlike(r"\}\s*\]") | in_object.isNotNull())
+    return lines.withColumn("__json", F.when(F.col("__array").isNotNull() & whole, F.col("__array")))
 
 
 def documents_from_lines(lines: DataFrame, fields: Mapping[str, str] | None = None) -> DataFrame:
-    """Turn a ``value`` column into ``text`` plus ``rejection`` (null = accepted).
+    """Turn a ``value`` column into ``text`` and a reason for rejecting it (null = accepted).
 
     Blank lines go; a JSON object gives its ``text``; a broken object or one
     without ``text`` stays as the whole line. ``fields`` names further members
@@ -50,24 +53,16 @@ def documents_from_lines(lines: DataFrame, fields: Mapping[str, str] | None = No
     line = strip(F.col("value"))
     others = [c for c in lines.columns if c != "value"]
     trimmed = lines.select(*others, line.alias("__line")).where(F.col("__line") != "")
-    parsed = trimmed.withColumn("__json", F.when(F.col("__line").startswith("{"), _parsed(F.col("__line"))))
-    member = parsed.withColumn("__text", F.try_variant_get("__json", "$[0].text", "variant"))
+    member = _with_json(trimmed).withColumn("__text", F.try_variant_get("__json", "$[0].text", "variant"))
     kind = F.schema_of_variant(F.col("__text"))
-    kept_fields = [
-        F.try_variant_get("__json", f"$[0].{name}", data_type).alias(name)
-        for name, data_type in (fields or {}).items()
-    ]
-    return member.select(
-        *others,
-        F.when(F.col("__text").isNull(), F.col("__line"))
-        .otherwise(F.try_variant_get("__text", "$", "string"))
-        .alias("text"),
-        F.when(kind == "VOID", F.lit("text is null"))
-        .when(kind != "STRING", F.concat(F.lit("text is not a string: "), kind))
-        .alias(_REASON),
-        F.col("__line").alias("line"),
-        *kept_fields,
+    kept_fields = {
+        name: F.try_variant_get("__json", f"$[0].{name}", data_type) for name, data_type in (fields or {}).items()
+    }
+    text = F.when(F.col("__text").isNull(), F.col("__line")).otherwise(F.try_variant_get("__text", "$", "string"))
+    reason = F.when(kind == "VOID", F.lit("text is null")).when(
+        kind != "STRING", F.concat(F.lit("text is not a string: "), kind)
     )
+    return settled(member, others, {"text": text, _REASON: reason, "line": F.col("__line"), **kept_fields})
 
 
 def _prepare_session(spark: SparkSession) -> None:
