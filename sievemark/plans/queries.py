@@ -571,7 +571,7 @@ def rule_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _finished_run(spark: SparkSession, sf_dir: str, name: str) -> str:
     output = scratch_path(spark, name)
-    run(_keyed(spark, sf_dir), NEUTRAL, output, stem="documents")
+    run(_keyed(spark, sf_dir), NEUTRAL, output, stem="documents", text_only=True)
     return output
 
 
@@ -619,8 +619,7 @@ def custom_cleaned_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     decisions = (
         _decisions(spark, sf_dir).join(documents, "doc_id").withColumnRenamed("doc_id", "line_no")
     )
-    schema = screen(_keyed(spark, sf_dir), NEUTRAL)
-    path = rerun_with_decisions(output, decisions, schema, stem="documents")
+    path = rerun_with_decisions(output, decisions, stem="documents", text_only=True)
     return spark.read.schema("text string").json(path)
 
 

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sievemark.operators.report import flagged_detail, flagged_table, run_summary
 from sievemark.operators.review import reapply_scored
@@ -48,7 +49,7 @@ def run(
     output: str,
     stem: str = "dataset",
     config: ScreenConfig = ScreenConfig(),
-    text_only: bool = True,
+    text_only: bool = False,
     ordered: bool = False,
 ) -> DataFrame:
     """Screen ``documents(dataset_id, line_no, text, …)`` into ``output``.
@@ -78,11 +79,19 @@ def run(
 
 
 def rerun_with_decisions(
-    output: str, decisions: DataFrame, pack_schema: DataFrame, stem: str = "dataset", text_only: bool = True
+    output: str,
+    decisions: DataFrame,
+    stem: str = "dataset",
+    text_only: bool = False,
+    schema: StructType | None = None,
 ) -> str:
-    """Rewrite the cleaned corpus of a finished run, honouring keep decisions."""
-    spark = decisions.sparkSession
-    scored = spark.read.schema(pack_schema.schema).parquet(f"{output.rstrip('/')}/scored")
+    """Rewrite the cleaned corpus of a finished run, honouring keep decisions.
+
+    ``schema`` (of the scored documents) is needed only if a run may be empty.
+    """
+    reader = decisions.sparkSession.read
+    scored = (reader.schema(schema) if schema else reader).parquet(f"{output.rstrip('/')}/scored")
+    scored = scored.withColumn("keep", F.col("keep").cast("boolean"))
     path = sinks.custom_cleaned_path(output, stem)
     sinks.write_cleaned(reapply_scored(scored, decisions), path, text_only)
     return path

@@ -31,8 +31,8 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_cleaned(kept: DataFrame, path: str, text_only: bool = True, text: str = "text") -> None:
-    """The kept documents: ``{"text": …}`` only, or with all input columns."""
+def write_cleaned(kept: DataFrame, path: str, text_only: bool = False, text: str = "text") -> None:
+    """The kept documents with all input columns, or as ``{"text": …}`` only."""
     decisions = [c for c in ("explicit", "sensitive", "keep") if c in kept.columns]
     write_jsonl(kept.select(F.col(text).alias("text")) if text_only else kept.drop(*decisions), path)
 

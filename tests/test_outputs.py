@@ -85,7 +85,7 @@ def test_run_writes_everything(spark, tmp_path):
     source.write_text("\n".join(t.replace("\n", " ").replace("\r", "") for t in TEXTS) + "\n", encoding="utf-8")
     documents = read_lines(spark, str(source)).documents
     out = str(tmp_path / "out")
-    summary = run(documents, NEUTRAL, out, stem="shard").first()
+    summary = run(documents, NEUTRAL, out, stem="shard", text_only=True).first()
     assert summary.total_flagged == 4 and summary.total_processed == 6 and summary.total_porn == 1
     assert summary.cleaned_output == f"{out}/shard_cleaned.jsonl"
     assert read_json_lines(f"{out}/shard_cleaned.jsonl") == [{"text": "calm text"}, {"text": TEXTS[5]}]
@@ -99,7 +99,7 @@ def test_run_writes_everything(spark, tmp_path):
     assert rows[0]["porn_ml_score"] == "" and rows[1]["porn_keywords_sample"] == ""
 
     keep = spark.createDataFrame([("shard.txt", 3, "keep"), ("shard.txt", 1, "remove"), ("no", 4, "keep")], "dataset_id string, line_no long, decision string")
-    path = rerun_with_decisions(out, keep, screen(documents, NEUTRAL), stem="shard")
+    path = rerun_with_decisions(out, keep, stem="shard", text_only=True)
     assert len(read_json_lines(path)) == 3
 
 
@@ -112,7 +112,7 @@ def test_cleaned_output_can_be_switched_off(spark, scored, tmp_path):
 
 def test_all_columns_can_be_kept(spark, scored, tmp_path):
     documents = scored.select("line_no", "dataset_id", "text")
-    run(documents.repartition(4), NEUTRAL, str(tmp_path), text_only=False, ordered=True)
+    run(documents.repartition(4), NEUTRAL, str(tmp_path), ordered=True)
     assert read_json_lines(tmp_path / "dataset_cleaned.jsonl") == [
         {"line_no": i, "dataset_id": "part.txt", "text": TEXTS[i - 1]} for i in (2, 6)
     ]
