@@ -124,7 +124,11 @@ def _whole_word_atoms(rule: str) -> list[str] | None:
         return None
     body = rule[2:-2]
     atoms = _ATOM.findall(body)
-    if "".join(atoms) != body or not (_is_word_char(atoms[0]) and _is_word_char(atoms[-1])):
+    if "".join(atoms) != body or not _is_word_char(atoms[0]):
+        return None
+    # Optional letters at the end still leave a letter before the boundary.
+    last = next((a for a in reversed(atoms) if not (len(a) > 1 and _is_word_char(a[0]))), "")
+    if not _is_word_char(last):
         return None
     return [a.lower() if a.isascii() and a.isalpha() else jvm_body(a) for a in atoms]
 

@@ -46,6 +46,10 @@ RULES = (
     r"\bsak-is\b",
     r"\bi\.s\b",
     r"\bdon't\b",
+    r"\bkisi?\b",
+    r"\bsa?k?\b",
+    r"\bs!?a*\b",
+    r"\bis\.?\b",
     r"s?",
 )
 ALPHABET = ["k", "i", "s", "a", "K", "S", "I", " ", " ", "!", "-", "'", ".", "\n", "é", "ſ", "K", "İ", "ı",
