@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, language, mixing
+from sievemark.llm import bpe, forest, language, mixing, privacy, quality, repair, urls
+from sievemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -33,12 +34,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_repair_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids written in compressed blocks, and what is read back from them per document."""
+    path = scratch_path(spark, "blocks")
+    repair.write_blocks(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return repair.read_digests(spark, path)
+
+
+#: Listed beginnings of URLs and what holds for them.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+@query
+def op3_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for every url: by a listed rule, else by its path template."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 @query
 def op4_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and the text decoded from them, as digests."""
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query
+def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document over links of at least 85 % common shingles."""
+    found = forest.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("component_id") == F.col("doc_id"))
+
+
+@query
+def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text: counts, base spans as a digest, all spans."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = privacy.find_spans(documents, keep_text=False)
+    counts = [privacy.n_spans(F.col("base_spans"), kind).alias(f"n_{kind}") for kind in privacy.KINDS]
+    base = F.sha2(privacy.span_text(F.col("base_spans")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, privacy.span_text(F.col("spans")).alias("spans"))
+
+
 @query
 def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
@@ -47,6 +90,18 @@ def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(slim, size="size").select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every whole text, the fixed checks, and the learnt list's verdict."""
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    n, repeated = F.col("n_words"), F.col("n_repeat_words")
+    failed = (n < 50) | (100 * repeated > 50 * n)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & F.col("method_keeps")).alias("kept"), "rule",
+    )
+
+
 @query
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learnt from two thirds of the labelled documents."""
