@@ -75,23 +75,24 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mixed(low) >> np.uint64(40)).astype(np.uint32)
 
 
-def _signed(documents: DataFrame, order: str, text: str, width: int) -> DataFrame:
-    """Per row: set size, digest of the set, packed signature (null for an empty set)."""
-    kind = documents.schema[order].dataType.simpleString()
+def _signed(documents: DataFrame, keys: list[str], text: str, width: int) -> DataFrame:
+    """Per row: its keys, set size, digest of the set, packed signature (null for an empty set)."""
+    carried = documents.select(*keys, text)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, packed = [], [], []
-            for shingles in shingle_sets(batch.column(1), width):
+            sizes, digests, packed = [], [], []
+            for shingles in shingle_sets(batch.column(len(keys)), width):
                 sizes.append(len(shingles))
-                keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
+                digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
                 packed.append(signature(shingles).astype(">u4").tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())],
-                names=[order, "n_shingles", "set_key", "sig"],
+                [*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())],
+                names=[*keys, "n_shingles", "set_key", "sig"],
             )
 
-    return documents.select(order, text).mapInArrow(run, f"`{order}` {kind}, n_shingles long, set_key binary, sig binary")
+    return carried.mapInArrow(run, f"{schema}, n_shingles long, set_key binary, sig binary")
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -286,18 +287,42 @@ def near_duplicates(
 
     ``order`` is an integer id. A row with an empty set, or without an id, is its own component.
     """
-    signed = _written(_signed(documents, order, text, width), "signed")
+    signed = _written(_signed(documents, [order], text, width), "signed")
+    by_set = _components_of_sets(signed, documents, order, text, percent, width)
+    joined = signed.select(order, "n_shingles", "set_key").join(by_set, "set_key", "left")
+    return joined.select(order, "n_shingles", F.coalesce("__comp", F.col(order).cast("long")).alias("component_id"))
+
+
+def keep_one(
+    documents: DataFrame, order: str = "doc_id", text: str = "text", percent: int = 85, width: int = 3
+) -> DataFrame:
+    """The rows of ``documents`` without near copies: of each component the row with the smallest id.
+
+    Rows with an empty set or without an id all stay. Of rows that repeat an id within
+    a component one stays. Only ids and digests decide; texts move once, to be joined.
+    """
+    rows = _written(documents.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    signed = _written(_signed(rows, [order, "__row"], text, width), "signed")
+    by_set = _components_of_sets(signed, rows, order, text, percent, width)
+    placed = signed.select(order, "__row", "set_key").join(by_set, "set_key", "left")
+    # Among rows of the smallest id the first row stays.
+    first = placed.where(F.col("__comp").isNotNull() & F.col(order).isNotNull()).groupBy("__comp").agg(F.min(F.struct(F.col(order), F.col("__row"))).alias("m"))
+    chosen = first.select(F.col("m.__row").alias("__row"))
+    loose = placed.where(F.col("__comp").isNull() | F.col(order).isNull()).select("__row")
+    return rows.join(chosen.union(loose), "__row", "left_semi").select(*documents.columns)
+
+
+def _components_of_sets(
+    signed: DataFrame, documents: DataFrame, order: str, text: str, percent: int, width: int
+) -> DataFrame:
+    """``set_key`` and ``__comp`` of every non-empty set."""
     filled = signed.where(F.col("set_key").isNotNull() & F.col(order).isNotNull())
-    representatives = _written(
-        filled.groupBy("set_key").agg(F.min(F.struct(F.col(order).cast("long").alias("rep"), "sig")).alias("m")).select("set_key", "m.rep", "m.sig"),
-        "representatives",
-    )
+    least = filled.groupBy("set_key").agg(F.min(F.struct(F.col(order).cast("long").alias("rep"), "sig")).alias("m"))
+    representatives = _written(least.select("set_key", "m.rep", "m.sig"), "representatives")
     regions = _written(_region_rows(_tree_rows(representatives.select("rep", "sig"))), "regions")
     labels = _link_all(documents, representatives, regions, order, text, percent, width)
     by_set = representatives.select("set_key", "rep").join(labels, "rep", "left")
-    by_set = by_set.select("set_key", F.coalesce("comp", "rep").alias("__comp"))
-    joined = signed.select(order, "n_shingles", "set_key").join(by_set, "set_key", "left")
-    return joined.select(order, "n_shingles", F.coalesce("__comp", F.col(order).cast("long")).alias("component_id"))
+    return by_set.select("set_key", F.coalesce("comp", "rep").alias("__comp"))
 
 
 def _link_all(

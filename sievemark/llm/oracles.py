@@ -41,4 +41,7 @@ FROM cut
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_weighted_mix": _MIX}
+    import corpus_pipeline
+
+    found = {"op8_weighted_mix": _MIX}
+    return found | {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else found

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, forest, language, mixing, privacy, quality, repair, urls
+from sievemark.llm import bpe, forest, katz, language, mixing, privacy, quality, repair, spotsigs, urls
 from sievemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +20,9 @@ def query(function: Query) -> Query:
 
 
 def registered() -> dict[str, Query]:
-    return dict(_QUERIES)
+    import corpus_pipeline
+
+    return _QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def tokenizer_path(name: str) -> str:
@@ -42,6 +44,12 @@ def op1_repair_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_digests(spark, path)
 
 
+@query
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text, and how alike they are."""
+    return spotsigs.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 #: Listed beginnings of URLs and what holds for them.
 URL_RULES = (
     ("allow", "com/"),
@@ -65,6 +73,14 @@ def op4_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query
+def op5_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text under a model of six sevenths of them."""
+    documents = table(spark, sf_dir, "documents")
+    scored = katz.train_and_score(documents, language.fold(F.col("doc_id"), 7) == 2)
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document over links of at least 85 % common shingles."""

@@ -18,6 +18,10 @@ CHUNK_BYTES = 1 << 21
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: White space and ASCII punctuation.
+PUNCTUATED = _SPACE.copy()
+PUNCTUATED[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+
 _generator = np.random.default_rng(20240229)
 _BYTE_CODE = _generator.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _RADIX = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -76,9 +80,11 @@ def chunk_ranges(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tupl
         at = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte spans of the words ``[^\\x20\\x09-\\x0D]+`` and, per document, where its words begin."""
-    solid = ~_SPACE[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte spans of the words (``[^\\x20\\x09-\\x0D]+`` by default) and, per document, where its words begin."""
+    solid = ~separators[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     begins = solid.copy()
@@ -98,10 +104,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     return mixed((sums[ends] - sums[starts]) * _power_table(_UNRADIX, len(data) + 1)[starts])
 
 
-def document_words(column: pa.Array, fold: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def document_words(
+    column: pa.Array, fold: bool = True, separators: np.ndarray = _SPACE
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """By chunks: first document, its word hashes, and where each document's words begin."""
     data, offsets = text_buffers(column)
     for first, last in chunk_ranges(offsets):
         own = data[offsets[first] : offsets[last]]
-        starts, ends, bounds = word_spans(own, offsets[first : last + 1] - offsets[first])
+        starts, ends, bounds = word_spans(own, offsets[first : last + 1] - offsets[first], separators)
         yield first, span_hashes(own, starts, ends, fold), bounds
+
+
+def hash_of(word: str) -> int:
+    """The hash that ``document_words`` gives a word."""
+    data = np.frombuffer(word.encode(), dtype=np.uint8)
+    return int(span_hashes(data, np.array([0]), np.array([len(data)]))[0])
