@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievemark.llm.columns import without
 from sievemark.llm.lexicon import Lexicon, compile_words, find, hash_table
 from sievemark.session import scratch_path
 
@@ -335,6 +336,7 @@ def encode(documents: DataFrame, tokenizer: str, text: str = "text", lexicon: st
     ``tokenizer`` is the path of the tokenizer file, present on every node.
     """
     name = lexicon or publish_lexicon(documents, tokenizer, text)
+    documents = without(documents, "ids")
     schema = T.StructType([*documents.schema.fields, T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,6 +389,7 @@ def decode_rows(tables: Tables, rows: Sequence[bytes]) -> list[str]:
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
     """Add ``decoded``, the text of the ``ids`` column; null ids give an empty text."""
+    encoded = without(encoded, "decoded")
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

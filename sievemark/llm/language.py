@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.llm.columns import without
+
 SEGMENT = 256
 CHUNK_SYMBOLS = 1 << 21
 UNDETERMINED = "und"
@@ -148,9 +150,9 @@ class Parser:
             for symbols in columns:
                 after = table[state + symbols]
                 ended = after == 0
-                count += ended
+                # A phrase begins at the start state, and where the one before cannot go on.
+                count += (ended | (state == 0)) & (symbols != _PAD)
                 state = np.where(ended, table[symbols], after)
-            count += 1
         return counts
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +187,8 @@ def identify(documents: DataFrame, training: dict[str, str], text: str = "text")
         for batch in batches:
             yield pd.DataFrame(_predictions(batch.fillna("").tolist(), texts), columns=["lang_pred", "score"])
 
-    names = [c for c in documents.columns]
+    documents = without(documents, "lang_pred", "score")
+    names = documents.columns
     result = documents.withColumn("__language", predict(F.col(text)))
     return result.select(*names, F.col("__language.lang_pred").alias("lang_pred"), F.col("__language.score").alias("score"))
 

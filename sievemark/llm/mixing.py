@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievemark.llm.columns import without
 from sievemark.llm.prefix import running_totals
 from sievemark.session import durable
 
@@ -75,8 +76,9 @@ def mix(
     seed: str = "mix",
 ) -> DataFrame:
     """Add ``size``, ``source_size``, ``target`` and ``taken`` (words, repeats counted)."""
+    documents = without(documents, "source_size", "target", "taken")
     if size is None:
-        documents, size = documents.withColumn("size", n_words(F.col(text))), "size"
+        documents, size = without(documents, "size").withColumn("size", n_words(F.col(text))), "size"
     targets = durable(source_targets(documents, source, size, weights, max_epochs))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(order).cast("string"), F.lit(""))))
     placed = running_totals(

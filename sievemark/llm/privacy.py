@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.llm.columns import without
 from sievemark.session import scratch_path
 
 #: Kinds in output order; ``term`` comes from the corpus statistics.
@@ -204,6 +205,7 @@ def find_spans(
     With ``keep_text=False`` only texts that hold spans are kept, which is all that
     the second look needs.
     """
+    documents = without(documents, "spans", "base_spans", "removed_terms")
     spark = documents.sparkSession
     value = F.coalesce(F.col(text), F.lit(""))
     per_kind = documents.withColumn("__text", value)

@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.llm.columns import without
 from sievemark.session import scratch_path
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -47,6 +48,8 @@ def with_counts(documents: DataFrame, text: str = "text") -> DataFrame:
     hashes are sorted within the row, equal neighbours give the places, and the places
     give the words covered. Rows without a repeated window skip that.
     """
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    documents = without(documents, *counts, *FEATURES)
     kept = documents.columns
     value = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(value, "\n"), lambda line: line.rlike(WORD))
@@ -102,7 +105,6 @@ def with_counts(documents: DataFrame, text: str = "text") -> DataFrame:
         _share(F.col("__exclaims"), words_n),
         _share(F.col("__distinct"), words_n),
     )
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return done.select(*kept, *counts, *[f.alias(name) for f, name in zip(features, FEATURES)])
 
 
@@ -253,6 +255,7 @@ def judge(
     Features are written once, without the texts; learning and judging read them.
     """
     spark = documents.sparkSession
+    documents = without(documents, "rule", "method_keeps")
     path = scratch_path(spark, "features")
     with_counts(documents, text).drop(text).write.parquet(path)
     features = spark.read.parquet(path)

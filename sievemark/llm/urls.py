@@ -2,10 +2,9 @@
 
 Listed rules label the URLs they fit. Every host's paths form a tree of segments. Segments
 that look like numbers, hashes or dates become their class at once. Then, level by
-level, children of one node are compared with all of them together: children too
-rare and too many to be sections of the site, and children whose labels do not differ
-from their siblings' beyond chance, become one wildcard branch; the others stay
-literal. A template is rejected if the share of blocked URLs among its labelled ones,
+level, children of one node are compared with their siblings: children too rare and
+too many to be sections of the site, and children whose labels do not differ from their
+siblings' beyond chance, become one wildcard branch; the others stay literal. A template is rejected if the share of blocked URLs among its labelled ones,
 smoothed towards the overall share, reaches ``reject_at``.
 
 All of it is DataFrame work: one count per node and child per level, then a lookup of
@@ -25,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.llm.columns import without
 from sievemark.session import durable
 
 #: An action and what it holds for: ``host/path`` beginnings; the host stands for its subdomains too.
@@ -91,9 +91,10 @@ def templates(
 
     Segments beyond ``max_depth`` become one wildcard. A node with more than
     ``max_children`` children keeps as literal only those with at least ``min_pages``
-    pages. Labelled children merge while their blocked share stays within the bound
-    sqrt(ln(2/alpha)/2) * (1/sqrt(n) + 1/sqrt(m)) of the node's.
+    pages. A labelled child merges if its blocked share stays within the bound
+    sqrt(ln(2/alpha)/2) * (1/sqrt(n) + 1/sqrt(m)) of that of its labelled siblings.
     """
+    pages = without(pages, "template")
     names = pages.columns
     parts = F.filter(F.split(F.coalesce(F.col(path), F.lit("")), "/"), lambda s: s != "")
     known = F.col(blocked).isNotNull().cast("long")
@@ -121,9 +122,10 @@ def templates(
             F.sum("known").alias("all_known"),
             F.sum("blocked").alias("all_blocked"),
         )
-        share, own = F.col("all_blocked") / F.col("all_known"), F.col("blocked") / F.col("known")
-        bound = F.lit(spread) * (1 / F.sqrt("known") + 1 / F.sqrt("all_known"))
-        alike = (F.col("known") > 0) & (F.col("all_children") > 1) & (F.abs(own - share) < bound)
+        others = F.col("all_known") - F.col("known")
+        gap = F.abs(F.col("blocked") / F.col("known") - (F.col("all_blocked") - F.col("blocked")) / others)
+        bound = F.lit(spread) * (1 / F.sqrt("known") + 1 / F.sqrt(others))
+        alike = F.when((F.col("known") > 0) & (others > 0), gap < bound)
         rare = (F.col("all_children") > max_children) & (F.col("n") < min_pages)
         literal = durable(
             children.join(nodes, ["__host", "__node"])
@@ -154,7 +156,8 @@ def judge(
     reject_at: float = 0.8,
 ) -> DataFrame:
     """Add ``host path rule template purity verdict``. A fitting rule decides; else the template does."""
-    names = [c for c in pages.columns]
+    pages = without(pages, "host", "path", "rule", "template", "purity", "verdict")
+    names = pages.columns
     parsed = pages.withColumn("__h", host_of(F.col(url))).withColumn("__p", path_of(F.col(url)))
     ruled = parsed.withColumn("__rule", fitting_rule(F.col("__h"), F.col("__p"), rules))
     labelled = ruled.withColumn("__label", F.col("__rule.action") == "block")
