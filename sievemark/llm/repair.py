@@ -21,6 +21,7 @@ table; other columns are not stored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
@@ -32,12 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 ROUNDS = 4
 PAIRS_PER_ROUND = 1024
 MIN_COUNT = 64
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 _COUNT_BITS = 18
+# Letters that stay single letters in lower case and normal form, then marks that never begin a contraction.
+_LETTERS_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")
 
 _BLOCK = (
     "shard int, block int, tokens_before long, n_tokens long, doc_ids array<long>, symbol_ends array<int>, "
@@ -60,24 +63,48 @@ class Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
+        self.closes = np.zeros(self.size, dtype=bool)
+        self.closes[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
 
     def _ask(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words. Letters and the marks behind them are separate pre-tokens, so
+        their ids follow each other; of letters alone many words go into one call, as
+        every one ends in a token that closes a word."""
         found: dict[str, bytes] = {}
-        plain = [w for w in words if w.isascii() and w.isalpha()]
-        # One call for many words of one pre-token each; the call says which id is whose.
+        split: list[tuple[str, str, str]] = []
+        letters: set[str] = set()
+        rest: set[str] = set()
+        for word in words:
+            match = _LETTERS_MARKS.fullmatch(word)
+            if match is None:
+                rest.add(word)
+            else:
+                core, marks = match.groups()
+                split.append((word, core, marks))
+                if core not in self.known:
+                    letters.add(core)
+                if marks and marks not in self.known:
+                    rest.add(marks)
+        plain = list(letters)
         for at in range(0, len(plain), 500):
             group = plain[at : at + 500]
-            encoding = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
-            ends = np.searchsorted(np.array(encoding.word_ids), np.arange(1, len(group) + 1)) * 4
-            flat = array("I", encoding.ids).tobytes()
-            begin = 0
-            for word, end in zip(group, ends.tolist()):
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(group):
+                rest.update(group)
+                continue
+            flat, begin = ids.tobytes(), 0
+            for word, end in zip(group, (ends * 4).tolist()):
                 found[word] = flat[begin:end]
                 begin = end
-        rest = [w for w in words if w not in found]
-        for word, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+        others = list(rest)
+        for word, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
             found[word] = array("I", encoding.ids).tobytes()
+        for word, core, marks in split:
+            if marks:
+                ids = found.get(core)
+                found[word] = (self.known[core] if ids is None else ids) + (found[marks] if marks in found else self.known[marks])
         return found
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
@@ -223,10 +250,10 @@ def write_blocks(documents: DataFrame, path: str, tokenizer: str, end_id: int, o
         rows: list[bytes] = []
         size = block = before = 0
         for batch in batches:
-            own_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                encoded = words.encode([t or "" for t in texts[at : at + 256]])
-                for i, row in zip(own_ids[at : at + 256], encoded):
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                encoded = words.encode([t or "" for t in part.column(1).to_pylist()])
+                for i, row in zip(part.column(0).to_pylist(), encoded):
                     if rows and size + len(row) // 4 + 1 > BLOCK_TOKENS:
                         yield pa.RecordBatch.from_pylist([_block_row(shard, block, before, ids, rows, words.size)], schema)
                         block, before, ids, rows, size = block + 1, before + size, [], [], 0
