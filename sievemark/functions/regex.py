@@ -95,6 +95,8 @@ def word_hits(text: Column, terms: Sequence[str]) -> Column:
     """All non-overlapping hits of a word list, in text order."""
     atoms = [_ATOM.findall(t) for t in terms]
     simple = all("".join(a) == t and _is_word_char(a[0]) for a, t in zip(atoms, terms))
+    # A term that ends in the separator its neighbour needs must not read separators.
+    simple = simple and all(_is_word_char(_last_certain(a)) for a in atoms)
     body = "|".join(jvm_body(t) for t in terms)
     after = _NOT_BEFORE_WORD if simple and all(_is_word_char(a[-1]) for a in atoms) else _BOUNDARY
     if simple:
@@ -118,6 +120,12 @@ def _spaced(text: Column) -> Column:
 _NEEDS_OWN_SCAN = re.compile(r"\\[1-9]|\\k|\(\?P|\(\?\(")
 
 
+def _last_certain(atoms: Sequence[str]) -> str:
+    """The last atom that is not a quantified letter: optional letters at the end still
+    leave a letter before the boundary."""
+    return next((a for a in reversed(atoms) if not (len(a) > 1 and _is_word_char(a[0]))), "")
+
+
 def _whole_word_atoms(rule: str) -> list[str] | None:
     """Atoms of a ``\\b…\\b`` rule without groups or alternatives, else None."""
     if not (rule.startswith(r"\b") and rule.endswith(r"\b") and len(rule) > 4):
@@ -126,9 +134,7 @@ def _whole_word_atoms(rule: str) -> list[str] | None:
     atoms = _ATOM.findall(body)
     if "".join(atoms) != body or not _is_word_char(atoms[0]):
         return None
-    # Optional letters at the end still leave a letter before the boundary.
-    last = next((a for a in reversed(atoms) if not (len(a) > 1 and _is_word_char(a[0]))), "")
-    if not _is_word_char(last):
+    if not _is_word_char(_last_certain(atoms)):
         return None
     return [a.lower() if a.isascii() and a.isalpha() else jvm_body(a) for a in atoms]
 

@@ -40,10 +40,25 @@ def review_search(flagged: DataFrame, query: str = "") -> DataFrame:
 
 
 def review_page(
-    flagged: DataFrame, page: int = 1, per_page: int = DEFAULT_PER_PAGE, keys: Sequence[str] = KEYS
+    flagged: DataFrame,
+    page: int = 1,
+    per_page: int = DEFAULT_PER_PAGE,
+    keys: Sequence[str] = KEYS,
+    after: Sequence | None = None,
 ) -> DataFrame:
-    """One page in key order; only the rows up to the page's end are gathered."""
+    """One page in key order.
+
+    ``after`` holds the keys of the last row seen: the page then follows that row, and
+    no more than one page is gathered however deep it lies. By ``page`` number all
+    rows up to the page's end are gathered, which suits the first pages only.
+    """
     page, per_page = _limits(page, per_page)
+    if after is not None:
+        behind, same = F.lit(False), F.lit(True)
+        for key, value in zip(keys, after, strict=True):
+            behind = behind | (same & (F.col(key) > F.lit(value)))
+            same = same & (F.col(key) == F.lit(value))
+        return flagged.where(behind).orderBy(*keys).limit(per_page)
     return flagged.orderBy(*keys).offset((page - 1) * per_page).limit(per_page)
 
 
@@ -111,12 +126,14 @@ def reapply_counts(
 ) -> DataFrame:
     """``records_written`` and ``records_removed`` (removed keys, not dropped rows).
 
-    Keys meet in one full join; texts and decisions stay where they are.
+    Written are all rows but those of removed keys: three counts, and only the keys of
+    the last one meet in a join.
     """
-    present = documents.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    removed = removed_keys(flagged, decisions, keys).withColumn("__removed", F.lit(True))
-    written = F.sum(F.when(F.col("__removed").isNull(), F.col("__rows")))
-    return present.join(removed, list(keys), "full").agg(
-        F.coalesce(written, F.lit(0)).alias("records_written"),
-        F.count("__removed").alias("records_removed"),
+    removed = removed_keys(flagged, decisions, keys)
+    parts = (
+        documents.select(F.lit(1).alias("total"), F.lit(0).alias("gone"), F.lit(0).alias("removed")),
+        documents.select(*keys).join(removed, list(keys), "left_semi").select(F.lit(0), F.lit(1), F.lit(0)),
+        removed.select(F.lit(0), F.lit(0), F.lit(1)),
     )
+    counted = parts[0].union(parts[1]).union(parts[2]).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "gone", "removed")])
+    return counted.select((F.col("total") - F.col("gone")).alias("records_written"), F.col("removed").alias("records_removed"))

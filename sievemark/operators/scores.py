@@ -31,45 +31,75 @@ def category_labels(pack: RulePack) -> list[str]:
     return [c.score_label for c in pack.categories if c.score_label] + [pack.safe_label]
 
 
-def _best_label(labels: Column, scores: Column) -> Column:
-    return F.max_by(F.struct(F.upper(labels).alias("label"), scores.alias("score")), F.struct(scores, labels))
+def _counts(score: Column) -> Column:
+    return score.isNotNull() & ~F.isnan(score)
 
 
-def with_explicit_scores(documents: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the best ``(label, score)`` of each document.
+def _best_label(labels: Column, scores: Column, among: Column | None = None) -> Column:
+    """The label of the highest score; of equal scores the last label by code point.
 
-    ``scores`` has the keys, ``label`` and ``score``. It is reduced to one row
-    per document before the join, with partial aggregation on the map side.
+    Scores that are null or NaN count for nothing.
     """
-    best = scores.groupBy(*keys).agg(
-        _best_label(F.col("label"), F.col("score").cast("double")).cast(EXPLICIT_TYPE).alias(EXPLICIT_SCORE)
+    usable = _counts(scores) if among is None else among & _counts(scores)
+    return F.max_by(
+        F.struct(F.upper(labels).alias("label"), scores.alias("score")), F.when(usable, F.struct(scores, labels))
     )
-    return documents.join(best, list(keys), "left")
 
 
-def with_category_scores(
-    documents: DataFrame, scores: DataFrame, keys: Sequence[str], pack: RulePack
+def _long(scores: DataFrame, keys: Sequence[str], explicit: bool) -> DataFrame:
+    return scores.select(*keys, "label", F.col("score").cast("double").alias("score"), F.lit(explicit).alias("__explicit"))
+
+
+def with_scores(
+    documents: DataFrame,
+    keys: Sequence[str],
+    pack: RulePack,
+    explicit: DataFrame | None = None,
+    categories: DataFrame | None = None,
 ) -> DataFrame:
-    """Attach the score of each label the pack knows.
+    """Attach what score tables (keys, ``label``, ``score``) say about each document.
 
-    One fixed aggregate per label keeps the state of a key small, however many
-    rows it has; labels without a score are left out of the map.
+    Both tables are reduced together to one row per document, with one fixed aggregate
+    per label, so that a key with very many rows needs no more memory than others; one
+    join brings them to the documents. Labels without a usable score are left out.
     """
-    labels = category_labels(pack)
-    per_label = [
-        F.max(F.when(F.col("label") == label, F.col("score").cast("double"))).alias(f"__s{i}")
-        for i, label in enumerate(labels)
+    given = [_long(t, keys, e) for t, e in ((explicit, True), (categories, False)) if t is not None]
+    if not given:
+        return documents
+    rows = given[0] if len(given) == 1 else given[0].unionByName(given[1])
+    label, score, is_explicit = F.col("label"), F.col("score"), F.col("__explicit")
+    labels = category_labels(pack) if categories is not None else []
+    aggregates = [
+        F.max(F.when(~is_explicit & (label == name) & _counts(score), score)).alias(f"__s{i}") for i, name in enumerate(labels)
     ]
-    pairs = F.array(
-        *[F.struct(F.lit(label).alias("key"), F.col(f"__s{i}").alias("value")) for i, label in enumerate(labels)]
-    )
-    known = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull())).cast(CATEGORY_TYPE)
-    wide = scores.where(F.col("label").isin(labels)).groupBy(*keys).agg(*per_label)
-    return documents.join(wide.select(*keys, known.alias(CATEGORY_SCORES)), list(keys), "left")
+    added = []
+    if explicit is not None:
+        aggregates.append(_best_label(label, score, is_explicit).cast(EXPLICIT_TYPE).alias(EXPLICIT_SCORE))
+        added.append(F.col(EXPLICIT_SCORE))
+    if categories is not None:
+        pairs = F.array(*[F.struct(F.lit(name).alias("key"), F.col(f"__s{i}").alias("value")) for i, name in enumerate(labels)])
+        known = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull())).cast(CATEGORY_TYPE)
+        present = F.col("__categories") > 0
+        aggregates.append(F.count_if(~is_explicit & label.isin(labels)).alias("__categories"))
+        added.append(F.when(present, known).alias(CATEGORY_SCORES))
+    per_document = rows.groupBy(*keys).agg(*aggregates).select(*keys, *added)
+    return documents.join(per_document, list(keys), "left")
+
 
+def with_explicit_scores(documents: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach the best ``(label, score)`` of each document."""
+    return with_scores(documents, keys, RulePack(), explicit=scores)
+
+
+def with_category_scores(
+    documents: DataFrame, scores: DataFrame, keys: Sequence[str], pack: RulePack
+) -> DataFrame:
+    """Attach the score of each label the pack knows."""
+    return with_scores(documents, keys, pack, categories=scores)
 
-def _tolerant(make_scorer: Callable) -> Callable[[], Callable]:
-    """A loader of the scorer that gives None for what cannot be scored.
+
+def _careful(make_scorer: Callable, strict: bool) -> Callable[[], Callable]:
+    """A loader of the scorer that gives ``(result, error)`` for each text.
 
     Everything is nested, so that the tasks get it by value and workers need
     not have this package installed.
@@ -78,58 +108,104 @@ def _tolerant(make_scorer: Callable) -> Callable[[], Callable]:
     def load() -> Callable[[list[str]], list]:
         try:
             scorer = make_scorer()
-        except Exception:  # no model: go on with rules only
-            return lambda texts: [None] * len(texts)
-
-        def one(text: str):
-            try:
-                return scorer([text])[0]
-            except Exception:
-                return None
+        except Exception as error:  # no model: go on with rules only, and say so
+            if strict:
+                raise
+            message = f"scorer not loaded: {error!r}"
+            return lambda texts: [(None, message)] * len(texts)
 
         def score(texts: list[str]) -> list:
+            if not texts:
+                return []
             try:
-                return list(scorer(texts))
-            except Exception:  # one bad text must not cost the whole batch
-                return [one(t) for t in texts]
+                found = list(scorer(texts))
+                if len(found) != len(texts):
+                    raise ValueError(f"{len(found)} results for {len(texts)} texts")
+                return [(r, None) for r in found]
+            except Exception as error:  # one bad text must not cost the whole batch
+                if strict:
+                    raise
+                if len(texts) == 1:
+                    return [(None, repr(error))]
+                middle = len(texts) // 2
+                return score(texts[:middle]) + score(texts[middle:])
 
         return score
 
     return load
 
 
-def score_explicit(
-    documents: DataFrame, make_scorer: Callable[[], ExplicitScorer], text: str = "text"
+def score(
+    documents: DataFrame,
+    explicit: Callable[[], ExplicitScorer] | None = None,
+    categories: Callable[[], CategoryScorer] | None = None,
+    text: str = "text",
+    explicit_chars: int | None = EXPLICIT_CHARS,
+    category_chars: int | None = CATEGORY_CHARS,
+    strict: bool = False,
+    errors: str | None = "score_error",
 ) -> DataFrame:
-    """Score with a model held once per task; a text that fails gives nulls."""
-    load = _tolerant(make_scorer)
+    """Score with one or both models, loaded once per task, in one Python stage.
+
+    A text that fails gives no score, and its error in the column ``errors`` (None: no
+    such column); with ``strict`` the job fails instead. Models are shown the first
+    ``explicit_chars`` and ``category_chars`` characters, None for the whole text.
+    """
+    loaders = tuple(None if make is None else _careful(make, strict) for make in (explicit, categories))
+
+    @F.pandas_udf(f"explicit {EXPLICIT_TYPE}, categories {CATEGORY_TYPE}, error string")
+    def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        first, second = (None if load is None else load() for load in loaders)
+
+        def usable(number) -> bool:
+            return number is not None and number == number
+
+        def best(result):
+            pairs = [(s, name) for name, s in result or [] if name and usable(s)]
+            return {"label": max(pairs)[1].upper(), "score": float(max(pairs)[0])} if pairs else None
+
+        def known(result):
+            return {name: float(s) for name, s in (result or {}).items() if usable(s)}
+
+        for short, longer in batches:
+            nothing = [(None, None)] * len(short)
+            one = first(list(short)) if first else nothing
+            many = second(list(longer)) if second else nothing
+            chosen = [best(r) for r, _ in one]
+            yield pd.DataFrame(
+                {
+                    "explicit": pd.Series([c or {"label": None, "score": None} for c in chosen], dtype="object"),
+                    "categories": pd.Series([known(r) for r, _ in many], dtype="object"),
+                    "error": pd.Series([a or b for (_, a), (_, b) in zip(one, many)], dtype="object"),
+                }
+            )
+
+    def shown(chars: int | None) -> Column:
+        return F.col(text) if chars is None else F.substring(text, 1, chars)
+
+    out = documents.withColumn("__scored", scored(shown(explicit_chars), shown(category_chars)))
+    if explicit is not None:
+        found = F.col("__scored.explicit")
+        out = out.withColumn(EXPLICIT_SCORE, F.when(found["label"].isNotNull(), found))
+    if categories is not None:
+        out = out.withColumn(CATEGORY_SCORES, F.col("__scored.categories"))
+    if errors:
+        out = out.withColumn(errors, F.col("__scored.error"))
+    return out.drop("__scored")
 
-    @F.pandas_udf(EXPLICIT_TYPE)
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        score = load()
-        for texts in batches:
-            best = [max(r, key=lambda p: p[1]) if r else (None, None) for r in score(list(texts))]
-            labels = pd.Series([b[0].upper() if b[0] else None for b in best], dtype="object")
-            yield pd.DataFrame({"label": labels, "score": pd.Series([b[1] for b in best], dtype="float64")})
 
-    shown = documents.withColumn("__score", scored(F.substring(text, 1, EXPLICIT_CHARS)))
-    best = F.when(F.col("__score.label").isNotNull(), F.col("__score"))
-    return shown.withColumn(EXPLICIT_SCORE, best).drop("__score")
+def score_explicit(
+    documents: DataFrame, make_scorer: Callable[[], ExplicitScorer], text: str = "text", strict: bool = False
+) -> DataFrame:
+    """Score with a model held once per task; a text that fails gives nulls."""
+    return score(documents, explicit=make_scorer, text=text, strict=strict, errors=None)
 
 
 def score_categories(
-    documents: DataFrame, make_scorer: Callable[[], CategoryScorer], text: str = "text"
+    documents: DataFrame, make_scorer: Callable[[], CategoryScorer], text: str = "text", strict: bool = False
 ) -> DataFrame:
     """Zero-shot scores per label; a text that fails gives an empty map."""
-    load = _tolerant(make_scorer)
-
-    @F.pandas_udf(CATEGORY_TYPE)
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        score = load()
-        for texts in batches:
-            yield pd.Series([dict(r or {}) for r in score(list(texts))], dtype="object")
-
-    return documents.withColumn(CATEGORY_SCORES, scored(F.substring(text, 1, CATEGORY_CHARS)))
+    return score(documents, categories=make_scorer, text=text, strict=strict, errors=None)
 
 
 def flagged_by_score(score: Column, pack: RulePack, threshold: float) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -10,9 +12,11 @@ from pyspark.sql import functions as F
 
 from sievemark.packs import lexicons
 
+logger = logging.getLogger(__name__)
+
 RULES_SCHEMA = "pack string, category string, lang string, kind string, ord int, pattern string"
 
-# A pack becomes column expressions on the driver, so its size is bounded.
+# A pack becomes column expressions on the driver; larger ones are refused unless asked for.
 MAX_RULES = 20_000
 
 
@@ -47,14 +51,18 @@ class RulePack:
     amplifiers: tuple[str, ...] = ()
     toxic_labels: tuple[str, ...] = lexicons.TOXIC_LABELS
     safe_label: str = lexicons.SAFE_LABEL
+    max_rules: int = MAX_RULES
 
     def __post_init__(self) -> None:
         if len({c.name for c in self.categories}) != len(self.categories):
             raise ValueError("category names must be unique")
         if sum(c.verified for c in self.categories) > 1:
             raise ValueError("at most one category can be verified")
-        if self.size() > MAX_RULES:
-            raise ValueError(f"a pack holds at most {MAX_RULES} rules, got {self.size()}")
+        if self.size() > self.max_rules:
+            raise ValueError(f"a pack holds at most {self.max_rules} rules, got {self.size()}; see max_rules")
+        for c in self.categories:
+            if c.verified and not c.hard:
+                logger.warning("category %s is verified without hard words: context alone decides", c.name)
 
     def size(self) -> int:
         return len(self._rows(""))
@@ -92,9 +100,14 @@ class RulePack:
         return spark.createDataFrame(self._rows(pack), RULES_SCHEMA)
 
     @classmethod
-    def from_df(cls, rules: DataFrame, pack: str | None = None, order: Sequence[str] = ()) -> RulePack:
+    def from_df(
+        cls, rules: DataFrame, pack: str | None = None, order: Sequence[str] = (), max_rules: int = MAX_RULES
+    ) -> RulePack:
         """Build a pack from a ``rules`` table.
 
+        A table of several packs needs ``pack``, and no place in a list may be taken
+        twice: otherwise rules would be lost.
+
         Categories and languages named in ``order`` come first, in that order;
         others follow as they are met.
 
@@ -103,9 +116,15 @@ class RulePack:
         """
         if pack is not None:
             rules = rules.where(F.col("pack") == pack)
-        rows = rules.select("category", "lang", "kind", "ord", "pattern").limit(MAX_RULES + 1).collect()
-        if len(rows) > MAX_RULES:
-            raise ValueError(f"a pack holds at most {MAX_RULES} rules")
+        rows = rules.select("pack", "category", "lang", "kind", "ord", "pattern").limit(max_rules + 1).collect()
+        if len(rows) > max_rules:
+            raise ValueError(f"a pack holds at most {max_rules} rules; see max_rules")
+        packs = {r["pack"] for r in rows}
+        if len(packs) > 1:
+            raise ValueError(f"the table holds several packs, name one of {sorted(map(str, packs))}")
+        places = Counter((r.category, r.lang, r.kind, r["ord"]) for r in rows)
+        if repeated := [place for place, n in places.items() if n > 1]:
+            raise ValueError(f"rules share a place in their list: {repeated[:5]}")
         rank = {name: i for i, name in enumerate(order)}
         rows.sort(key=lambda r: rank.get(r.category if r.category is not None else r.lang, len(rank)))
         explicit: dict[str, dict[int, str]] = {}
@@ -137,4 +156,5 @@ class RulePack:
                 for name, kinds in categories.items()
             ),
             amplifiers=ordered(amplifiers),
+            max_rules=max_rules,
         )

@@ -314,6 +314,10 @@ alpha_verified, verification_reason, keep FROM scored""",
         "model_scores": scored(_LENGTH_SCORES, scores=True)
         + """SELECT doc_id, is_explicit, ml_label, ml_score, alpha_score, safe_score, alpha_flagged, keep
 FROM scored""",
+        "score_ties": """
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'TOXIC' ELSE 'NEUTRAL' END AS table_label,
+  CASE WHEN doc_id % 3 = 0 THEN 'TOXIC' ELSE 'NEUTRAL' END AS scorer_label, 0.5::DOUBLE AS score,
+  CAST(NULL AS VARCHAR) AS score_error FROM documents""",
         "flagged_report": plain + flagged,
         "flagged_csv_shape": plain + f"SELECT doc_id, {TABLE} FROM scored WHERE NOT keep",
         "issue_summary": plain + f"SELECT {COUNTERS} FROM scored",
@@ -356,6 +360,19 @@ FROM scored s JOIN labels l ON s.doc_id = l.doc_id GROUP BY 1, 2, 3""",
   FROM scored s JOIN labels l ON s.doc_id = l.doc_id)
 SELECT CAST(count_if(passed) AS BIGINT) AS passed, CAST(count_if(NOT passed) AS BIGINT) AS failed FROM judged""",
         "jsonl_round_trip": "SELECT doc_id, lang, text FROM documents",
+        "any_shard_names": """
+SELECT doc_id, text, CASE WHEN doc_id % 2 = 0 THEN 'compressed' ELSE 'plain' END AS part FROM documents""",
+        "rule_files_combined": """
+WITH kinds AS (SELECT DISTINCT lang, source, CASE WHEN CAST(regexp_extract(source, '[0-9]+$') AS BIGINT) % 2 = 1 THEN 0 ELSE 1 END AS part
+  FROM documents),
+rules AS (SELECT row_number() OVER (ORDER BY part, lang, source) - 1 AS ord,
+  'part' || part || '-' || lang || '-' || source AS pattern FROM kinds)
+SELECT list, ord, pattern FROM rules, (SELECT unnest(['en', 'kinds']) AS list)""",
+        "run_accounting": scored("SELECT * FROM documents WHERE doc_id % 7 <> 0")
+        + """, lost AS (SELECT count(*) AS n FROM documents WHERE doc_id % 7 = 0)
+SELECT count(*) AS total_processed, CAST(count_if(NOT keep) AS BIGINT) AS total_flagged, any_value(n) AS total_rejected,
+  true AS named, true AS known_device, CAST(count_if(keep) AS BIGINT) + any_value(n) AS distinct_keys,
+  CAST(count_if(keep) AS BIGINT) + any_value(n) AS kept_and_rejected FROM scored, lost""",
         "raw_line_numbers": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,

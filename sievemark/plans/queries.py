@@ -11,15 +11,19 @@ from sievemark.operators import report, review
 from sievemark.operators.evaluate import confusion, pass_counts, passes
 from sievemark.operators.evidence import entity_hits, with_evidence
 from sievemark.operators.proximity import boosted
-from sievemark.operators.scores import (
-    score_categories,
-    score_explicit,
-    with_category_scores,
-    with_explicit_scores,
-)
+from sievemark.operators.scores import EXPLICIT_SCORE, score, with_scores
 from sievemark.operators.screen import ScreenConfig, screen, screen_categories, screen_explicit
+from sievemark.packs import RulePack
 from sievemark.packs.neutral import NEUTRAL, WIDE
-from sievemark.plans.run import DETAIL_NAME, SUMMARY_NAME, TABLE_NAME, rerun_with_decisions, run
+from sievemark.plans.run import (
+    DETAIL_NAME,
+    REJECTED_NAME,
+    SUMMARY_NAME,
+    TABLE_NAME,
+    rerun_with_decisions,
+    run,
+    write_scored,
+)
 from sievemark.session import scratch_path
 from sievemark.sources import sinks
 from sievemark.sources.corpus import read_corpus
@@ -292,8 +296,7 @@ def _label_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 @query
 def scored_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     explicit, categories = _label_scores(spark, sf_dir)
-    documents = with_explicit_scores(_documents(spark, sf_dir), explicit, DOC)
-    documents = with_category_scores(documents, categories, DOC, NEUTRAL)
+    documents = with_scores(_documents(spark, sf_dir), DOC, NEUTRAL, explicit, categories)
     scored = screen(documents, NEUTRAL, ML)
     return scored.select(
         "doc_id",
@@ -308,6 +311,32 @@ def scored_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def score_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal, missing and undefined scores, from a table and from a scorer."""
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
+    number = F.when(F.col("doc_id") % 3 == 0, 0.5).when(F.col("doc_id") % 3 == 1, F.lit(float("nan")))
+    options = F.array(
+        *[F.struct(F.lit(n).alias("label"), s.cast("double").alias("score")) for n, s in (("neutral", F.lit(0.5)), ("toxic", number), ("b", F.lit(0.1)))]
+    )
+    table = documents.select("doc_id", F.inline(options))
+
+    def scorer():
+        def one(text: str) -> list[tuple[str, float]]:
+            number = [0.5, float("nan"), None][int(text) % 3]
+            return [("toxic", number), ("neutral", 0.5), ("b", 0.1)]
+
+        return lambda texts: [one(t) for t in texts]
+
+    joined = with_scores(documents, DOC, NEUTRAL, explicit=table).withColumnRenamed(EXPLICIT_SCORE, "from_table")
+    shown = joined.withColumn("shown", F.col("doc_id").cast("string"))
+    both = score(shown, explicit=scorer, text="shown")
+    return both.select(
+        "doc_id", F.col("from_table.label").alias("table_label"), F.col(f"{EXPLICIT_SCORE}.label").alias("scorer_label"),
+        F.col(f"{EXPLICIT_SCORE}.score").alias("score"), "score_error",
+    )
+
+
 @query
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scorer called on Arrow batches inside the tasks."""
@@ -318,7 +347,7 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     def category_scorer():
         return lambda texts: [{"alpha": len(t) % 90 / 100, "safe": len(t) % 80 / 100} for t in texts]
 
-    documents = score_categories(score_explicit(_documents(spark, sf_dir), explicit_scorer), category_scorer)
+    documents = score(_documents(spark, sf_dir), explicit_scorer, category_scorer)
     scored = screen(documents, NEUTRAL, ML)
     return scored.select(
         "doc_id",
@@ -437,7 +466,8 @@ def reapply_custom_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reapply_from_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = review.reapply_scored(_scored(spark, sf_dir), _decisions(spark, sf_dir), DOC)
+    scored = write_scored(_scored(spark, sf_dir), scratch_path(spark, "scored"))
+    clean = review.reapply_scored(scored, _decisions(spark, sf_dir), DOC)
     return clean.select("doc_id", "text", "keep")
 
 
@@ -481,6 +511,64 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def any_shard_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed shards and shards named by Spark, read back complete from one folder."""
+    path = scratch_path(spark, "shards")
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
+    even = F.col("doc_id") % 2 == 0
+    documents.where(even).write.option("compression", "gzip").json(f"{path}/compressed")
+    lines = documents.where(~even).select(F.to_json(F.struct("doc_id", "text")).alias("value"))
+    lines.write.text(f"{path}/plain")
+    found = read_lines(spark, [f"{path}/compressed", f"{path}/plain"], {"doc_id": "long"}, number=False).documents
+    part = F.split("dataset_id", "/")[0]
+    return found.select("doc_id", "text", part.alias("part"))
+
+
+@query
+def rule_files_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rule files per language made of the sources of its documents, as one pack."""
+    kinds = _table(spark, sf_dir, "documents").select("lang", "source").distinct()
+    files = []
+    for i, odd in enumerate((True, False)):
+        path = scratch_path(spark, "half")
+        number = F.regexp_extract("source", "[0-9]+$", 0).cast("long")
+        half = kinds.where((number % 2 == 1) == F.lit(odd)).orderBy("lang", "source")
+        line = F.concat_ws("-", F.lit(f"part{i}"), "lang", "source")
+        half.select(line.alias("value")).coalesce(1).write.text(path)
+        files += [RuleFile(path, lang="en"), RuleFile(path, category="kinds")]
+    accepted, _ = load_rules(spark, files)
+    pack = RulePack.from_df(accepted)
+    lists = [("en", pack.explicit[0][1]), ("kinds", pack.category("kinds").rules)]
+    rows = [(name, i, rule) for name, rules in lists for i, rule in enumerate(rules)]
+    return spark.createDataFrame(rows, "list string, ord long, pattern string")
+
+
+@query
+def run_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run over two equally named files: every line is kept, flagged or rejected."""
+    path, output = scratch_path(spark, "twins"), scratch_path(spark, "accounted")
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
+    text = F.to_json(F.struct("text"))
+    line = F.when(F.col("doc_id") % 7 == 0, F.lit('{"text": null}')).otherwise(text)
+    for part in ("a", "b"):
+        own = documents.where(F.col("doc_id") % 2 == (0 if part == "a" else 1))
+        own.select(line.alias("value")).coalesce(1).write.text(f"{path}/{part}")
+    lines = read_lines(spark, [f"{path}/a", f"{path}/b"])
+    run(lines.documents, NEUTRAL, output, stem=None, rejected=lines.rejected)
+    summary = spark.read.json(f"{output}/reports/{SUMMARY_NAME}")
+    cleaned = spark.read.schema("dataset_id string, line_no long, text string").json(sinks.cleaned_path(output, "dataset"))
+    rejected = spark.read.json(f"{output}/reports/{REJECTED_NAME}")
+    keys = cleaned.select("dataset_id", "line_no").union(rejected.select("dataset_id", "line_no"))
+    distinct = keys.distinct().agg(F.count(F.lit(1)).alias("distinct_keys"))
+    counted = keys.agg(F.count(F.lit(1)).alias("kept_and_rejected"))
+    facts = summary.select(
+        "total_processed", "total_flagged", "total_rejected", F.col("cleaned_output").endswith("dataset_cleaned.jsonl").alias("named"),
+        F.col("device").startswith("local").alias("known_device") | F.col("device").isNotNull(),
+    ).toDF("total_processed", "total_flagged", "total_rejected", "named", "known_device")
+    return facts.join(distinct).join(counted)
+
+
 @query
 def raw_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document as a raw text file, numbered on reading.
@@ -494,7 +582,7 @@ def raw_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("value") == "", "").otherwise(F.concat_ws("\t", "doc_id", "value")).alias("value")
     )
     physical.write.text(path)
-    records = read_lines(spark, path, glob="*.txt").documents
+    records = read_lines(spark, path).documents
     numbered = records.select(
         F.split("text", "\t")[0].cast("long").alias("doc_id"), "line_no", F.length("text").alias("chars")
     )

@@ -3,34 +3,25 @@
 from __future__ import annotations
 
 import time
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sievemark.operators.report import flagged_detail, flagged_table, run_summary
 from sievemark.operators.review import reapply_scored
 from sievemark.operators.screen import ScreenConfig, screen
+from sievemark.operators.review import KEYS
 from sievemark.packs import RulePack
+from sievemark.session import setting
 from sievemark.sources import sinks
 
 # Names of the report outputs.
 DETAIL_NAME = "flagged.jsonl"
 TABLE_NAME = "flagged_summary.csv"
 SUMMARY_NAME = "summary.json"
-
-
-@contextmanager
-def _two_open_files(spark: SparkSession):
-    """Let a task keep one file per value of ``keep`` open, so nothing is sorted."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "2")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+REJECTED_NAME = "rejected.jsonl"
 
 
 def write_scored(scored: DataFrame, path: str) -> DataFrame:
@@ -38,7 +29,8 @@ def write_scored(scored: DataFrame, path: str) -> DataFrame:
 
     This is the only step that matches rules. Records stay in input order.
     """
-    with _two_open_files(scored.sparkSession):
+    # A task keeps one file per value of ``keep`` open, so nothing is sorted.
+    with setting(scored.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "2"):
         scored.write.mode("overwrite").partitionBy("keep").parquet(path)
     return scored.sparkSession.read.schema(scored.schema).parquet(path)
 
@@ -47,12 +39,19 @@ def run(
     documents: DataFrame,
     pack: RulePack,
     output: str,
-    stem: str = "dataset",
+    stem: str | None = "dataset",
     config: ScreenConfig = ScreenConfig(),
     text_only: bool = False,
     ordered: bool = False,
+    keys: Sequence[str] = KEYS,
+    text: str = "text",
+    rejected: DataFrame | None = None,
 ) -> DataFrame:
-    """Screen ``documents(dataset_id, line_no, text, …)`` into ``output``.
+    """Screen ``documents`` with ``keys`` and ``text`` into ``output``.
+
+    ``keys`` name a document: dataset and line, or any id of its own. ``stem`` names
+    the cleaned corpus; with None it follows the dataset, if there is only one.
+    ``rejected`` lines (see ``read_lines``) are written beside the reports and counted.
 
     Writes the scored table, the cleaned corpus (unless switched off) and the
     reports, and returns the one-row summary. Everything after the scored table
@@ -62,28 +61,49 @@ def run(
     """
     started = time.monotonic()
     output = output.rstrip("/")
-    scored = write_scored(screen(documents, pack, config), f"{output}/scored")
+    scored = write_scored(screen(documents, pack, config, text=text), f"{output}/scored")
+    stem = stem or _stem_of(scored)
 
     def arranged(df: DataFrame) -> DataFrame:
-        return df.orderBy("dataset_id", "line_no") if ordered else df
+        return df.orderBy(*keys) if ordered else df
 
     cleaned = sinks.cleaned_path(output, stem) if config.write_cleaned else None
     if cleaned:
-        sinks.write_cleaned(arranged(scored.where(F.col("keep"))), cleaned, text_only)
-    sinks.write_jsonl(arranged(flagged_detail(scored, pack)), f"{output}/reports/{DETAIL_NAME}")
-    sinks.write_csv(arranged(flagged_table(scored, pack)), f"{output}/reports/{TABLE_NAME}")
+        sinks.write_cleaned(arranged(scored.where(F.col("keep"))), cleaned, text_only, text)
+    # Reports name the line before the dataset.
+    shown = ("line_no", "dataset_id") if tuple(keys) == KEYS else tuple(keys)
+    sinks.write_jsonl(arranged(flagged_detail(scored, pack, shown, text)), f"{output}/reports/{DETAIL_NAME}")
+    sinks.write_csv(arranged(flagged_table(scored, pack, shown, text)), f"{output}/reports/{TABLE_NAME}")
+    total_rejected = None
+    if rejected is not None:
+        sinks.write_jsonl(rejected, f"{output}/reports/{REJECTED_NAME}")
+        total_rejected = scored.sparkSession.read.schema(rejected.schema).json(f"{output}/reports/{REJECTED_NAME}").count()
     summary_path = f"{output}/reports/{SUMMARY_NAME}"
     summary = run_summary(scored, pack, time.monotonic() - started, cleaned)
+    if total_rejected is not None:
+        summary = summary.withColumn("total_rejected", F.lit(total_rejected).cast("long"))
     sinks.write_summary(summary, summary_path)
     return scored.sparkSession.read.schema(summary.schema).json(summary_path)
 
 
+def _stem_of(scored: DataFrame, default: str = "dataset") -> str:
+    """The name after the only dataset of a run."""
+    if "dataset_id" not in scored.columns:
+        return default
+    two = scored.select("dataset_id").distinct().limit(2).collect()
+    if len(two) != 1 or not two[0][0]:
+        return default
+    return sinks.dataset_stem(two[0][0])
+
+
 def rerun_with_decisions(
     output: str,
     decisions: DataFrame,
-    stem: str = "dataset",
+    stem: str | None = "dataset",
     text_only: bool = False,
     schema: StructType | None = None,
+    keys: Sequence[str] = KEYS,
+    text: str = "text",
 ) -> str:
     """Rewrite the cleaned corpus of a finished run, honouring keep decisions.
 
@@ -92,6 +112,6 @@ def rerun_with_decisions(
     reader = decisions.sparkSession.read
     scored = (reader.schema(schema) if schema else reader).parquet(f"{output.rstrip('/')}/scored")
     scored = scored.withColumn("keep", F.col("keep").cast("boolean"))
-    path = sinks.custom_cleaned_path(output, stem)
-    sinks.write_cleaned(reapply_scored(scored, decisions), path, text_only)
+    path = sinks.custom_cleaned_path(output, stem or _stem_of(scored))
+    sinks.write_cleaned(reapply_scored(scored, decisions, keys), path, text_only, text)
     return path

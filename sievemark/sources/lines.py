@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemark.functions.plans import settled
 from sievemark.functions.text import strip
+from sievemark.session import setting
 from sievemark.sources.numbering import located, numbered
 
-# Fixed value: the file names that are read.
-INPUT_FILES = "*.{jsonl,json,txt}"
+# Fixed value: the endings that an upload may have, in any case.
+UPLOAD_ENDINGS = ("jsonl", "json", "txt")
 
 _REASON = "__reason"
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:/+"
 
 
 @dataclass(frozen=True)
@@ -65,9 +69,30 @@ def documents_from_lines(lines: DataFrame, fields: Mapping[str, str] | None = No
     return settled(member, others, {"text": text, _REASON: reason, "line": F.col("__line"), **kept_fields})
 
 
-def _prepare_session(spark: SparkSession) -> None:
-    # With a repeated member the last one counts, as usual for JSON readers.
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+def _parsed(spark: SparkSession, lines: DataFrame, fields: Mapping[str, str] | None) -> DataFrame:
+    """Records of lines. With a repeated member the last one counts, as usual for JSON
+    readers: the parser takes that setting in when the expression is resolved."""
+    with setting(spark, "spark.sql.variant.allowDuplicateKeys", "true"):
+        records = documents_from_lines(lines, fields)
+        records.schema  # noqa: B018  resolves it
+    return records
+
+
+def name_filter(endings: Sequence[str]) -> str:
+    """A path filter for these file endings, in any case."""
+    either = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ending) for ending in endings]
+    return "*.{" + ",".join(either) + "}"
+
+
+def _dataset_id(files: Sequence[str]) -> Column:
+    """The file name; of several files the path below the folder they share."""
+    if len(files) == 1:
+        return F.col("_metadata.file_name")
+    # The same file is spelled file:/x and file:///x in different places.
+    shared = posixpath.commonprefix([re.sub(_SCHEME, "", posixpath.dirname(f)) + "/" for f in files])
+    below = shared[: shared.rfind("/") + 1]
+    path = F.regexp_replace("_metadata.file_path", _SCHEME, "")
+    return F.substring(path, F.lit(len(below) + 1), F.length(path))
 
 
 def read_lines(
@@ -75,19 +100,29 @@ def read_lines(
     paths: str | Sequence[str],
     fields: Mapping[str, str] | None = None,
     number: bool = True,
-    glob: str = INPUT_FILES,
+    glob: str | None = None,
+    endings: Sequence[str] | None = None,
 ) -> LineDocuments:
     """Read line files as ``documents(dataset_id, line_no, text, …fields)``.
 
+    Every file is read whatever its name, compressed ones as their ending says.
+    ``glob`` or ``endings`` (in any case, see ``UPLOAD_ENDINGS``) restrict that; paths
+    that leave no file to read are an error. ``dataset_id`` is the file name, or with
+    several files the path below the folder they share, so that keys are unique.
     ``line_no`` is the 1-based physical line in its file. ``number=False`` leaves
     it out and saves the extra pass where documents carry their own id.
     """
-    _prepare_session(spark)
-    scan = spark.read.option("pathGlobFilter", glob).text(paths if isinstance(paths, str) else list(paths))
-    lines = located(scan.select("value", F.col("_metadata.file_name").alias("dataset_id"), "_metadata"))
+    reader = spark.read
+    if glob or endings:
+        reader = reader.option("pathGlobFilter", glob or name_filter(endings))
+    scan = reader.text(paths if isinstance(paths, str) else list(paths))
+    files = scan.inputFiles()
+    if not files:
+        raise FileNotFoundError(f"no file to read in {paths}")
+    lines = located(scan.select("value", _dataset_id(files).alias("dataset_id"), "_metadata"))
     lines = lines.drop("_metadata")
     lines = numbered(lines) if number else lines.drop("__file", "__block")
-    records = documents_from_lines(lines, fields)
+    records = _parsed(spark, lines, fields)
     keys = ["dataset_id", "line_no"] if number else ["dataset_id"]
     return LineDocuments(
         documents=records.where(F.col(_REASON).isNull()).select(*keys, "text", *(fields or {})),
@@ -101,16 +136,18 @@ def stream_lines(
     spark: SparkSession,
     path: str,
     fields: Mapping[str, str] | None = None,
-    glob: str = INPUT_FILES,
+    glob: str | None = None,
+    endings: Sequence[str] | None = None,
     max_files_per_trigger: int | None = None,
 ) -> LineDocuments:
     """The same records from arriving files, without line numbers."""
-    _prepare_session(spark)
-    reader = spark.readStream.option("pathGlobFilter", glob)
+    reader = spark.readStream
+    if glob or endings:
+        reader = reader.option("pathGlobFilter", glob or name_filter(endings))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.text(path).select("value", F.col("_metadata.file_name").alias("dataset_id"))
-    records = documents_from_lines(lines, fields)
+    records = _parsed(spark, lines, fields)
     return LineDocuments(
         documents=records.where(F.col(_REASON).isNull()).select("dataset_id", "text", *(fields or {})),
         rejected=records.where(F.col(_REASON).isNotNull()).select(

@@ -32,20 +32,24 @@ class RuleFile:
     lang: str | None = None
 
 
-def read_rule_lines(spark: SparkSession, path: str) -> list[str]:
-    """The rules of one file in file order; a missing file gives an empty list."""
+def read_rule_lines(spark: SparkSession, path: str, max_rules: int = MAX_RULES) -> list[str]:
+    """The rules of a file in file order, or of a folder's files in path order.
+
+    A missing file gives an empty list. ``max_rules`` bounds what is brought to the
+    driver; more is an error, never a cut.
+    """
     try:
         scan = spark.read.text(path)
     except AnalysisException:
         logger.warning("rule file not found: %s", path)
         return []
-    lines = numbered(located(scan.select("value", "_metadata")).drop("_metadata"))
+    lines = numbered(located(scan.select("value", "_metadata")).drop("_metadata"), across_files=True)
     rules = lines.select("line_no", strip(F.col("value")).alias("rule")).where(
         (F.col("rule") != "") & ~F.col("rule").startswith("#")
     )
-    rows = rules.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"{path} holds more than {MAX_RULES} rules")
+    rows = rules.limit(max_rules + 1).collect()
+    if len(rows) > max_rules:
+        raise ValueError(f"{path} holds more than {max_rules} rules; see max_rules")
     return [r.rule for r in sorted(rows, key=lambda r: r.line_no)]
 
 
@@ -88,19 +92,24 @@ def check_rules(spark: SparkSession, rules: Sequence[str]) -> Mapping[int, str]:
 
 
 def load_rules(
-    spark: SparkSession, files: Sequence[RuleFile], pack: str = "default"
+    spark: SparkSession, files: Sequence[RuleFile], pack: str = "default", max_rules: int = MAX_RULES
 ) -> tuple[DataFrame, DataFrame]:
     """The ``rules`` table of a pack, and the rejected rules with reasons.
 
-    The accepted table feeds ``RulePack.from_df``.
+    Several files for one list follow each other in the order given. The accepted
+    table feeds ``RulePack.from_df``.
     """
     accepted, rejected = [], []
+    placed: dict[tuple, int] = {}
     for file in files:
-        rules = read_rule_lines(spark, file.path)
+        rules = read_rule_lines(spark, file.path, max_rules)
+        place = (file.category, file.lang, file.kind)
+        start = placed.get(place, 0)
+        placed[place] = start + len(rules)
         tested = rules if file.kind == "rule" else [word_list_rule([r]) for r in rules]
         reasons = check_rules(spark, tested)
         for i, rule in enumerate(rules):
-            row = (pack, file.category, file.lang, file.kind, i, rule)
+            row = (pack, file.category, file.lang, file.kind, start + i, rule)
             if i in reasons:
                 logger.warning("rule skipped (%s): %s", reasons[i], rule)
                 rejected.append((*row, reasons[i]))

@@ -18,6 +18,14 @@ def file_stem(path: str) -> str:
     return posixpath.splitext(posixpath.basename(path.rstrip("/")))[0]
 
 
+def dataset_stem(dataset_id: str) -> str:
+    """Output name of a dataset id: a file, or ``dataset/subset/split``."""
+    parts = dataset_id.split("/")
+    if len(parts) >= 3 and "." not in parts[-1]:
+        return corpus_stem("/".join(parts[:-2]), *parts[-2:])
+    return file_stem(dataset_id)
+
+
 def cleaned_path(folder: str, stem: str) -> str:
     return f"{folder.rstrip('/')}/{stem}_cleaned.jsonl"
 

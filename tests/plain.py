@@ -57,7 +57,7 @@ def second_look(low, pack, category, amplifier, tight, label_scores, cutoff):
     safe, insults = len(words(category.safe).findall(low)), len(amplifier.findall(low))
     if safe >= 2 and insults <= 1:
         return False, f"safe_context({safe}≥2,insults={insults}≤1)"
-    if safe > max(insults, 0):
+    if safe > 0 and safe > insults:
         return False, f"safe_dominates({safe}>{insults})"
     aimed = any(
         amplifier.search(low[max(0, m.start() - tight) : m.end() + tight])

@@ -290,3 +290,70 @@ def test_pack_limits():
         RulePack(categories=(Category("a", verify_entities=("x",)), Category("b", verify_entities=("x",))))
     with pytest.raises(ValueError):
         RulePack(explicit=(("en", tuple(str(i) for i in range(20_001))),))
+
+
+def test_words_behind_terms_that_end_in_a_mark(spark):
+    pack = three_category_pack({}, race=[r"\bhoot\b"])
+    texts = ["hoot news dr.study cina bodoh bodoh", "hoot dr.news cina bodoh", "hoot dr.news", "hoot dr. news", "hoot dr.dr.news study"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    rows = screen(df, pack).orderBy("id").collect()
+    for row in rows:
+        expected = screened(row.text, pack)
+        assert row.sensitive.verification_reason == expected.reason, row.text
+        assert row.keep == expected.keep, row.text
+    assert rows[0].keep and rows[0].sensitive.verification_reason == "safe_dominates(3>2)"
+
+
+def test_word_hits_of_terms_with_marks(spark):
+    import random
+    import re
+
+    from sievemark.functions.regex import word_hits
+
+    rng = random.Random(21)
+    terms = ["dr.", "a-", "-b", "news", "x.y", "é.", "a", "dr", "new+", "ab?"]
+    terms = [re.escape(t) if "?" not in t else t for t in terms]
+    parts = ["dr", ".", "a", "-", "b", "news", " ", "x.y", "é", "new+", "_", "ab", "\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(1500)]
+    for chosen in (terms, terms[:1] + terms[3:4], terms[3:4] + terms[6:8]):
+        plain = re.compile(r"\b(?:" + "|".join(chosen) + r")\b", re.IGNORECASE)
+        df = spark.createDataFrame([(t,) for t in texts], "text string")
+        for row in df.select("text", word_hits(F.col("text"), chosen).alias("hits")).collect():
+            assert row.hits == plain.findall(row.text), (row.text, chosen)
+
+
+def test_score_errors_are_visible_and_cost_one_text(spark):
+    from sievemark.operators.scores import score
+
+    df = spark.createDataFrame([(i, "bad" if i == 37 else f"t{i}") for i in range(100)], "id long, text string").coalesce(1)
+
+    def explicit():
+        def run(texts):
+            if "bad" in texts:
+                raise ValueError("bad text")
+            return [[("toxic", 0.9)] for _ in texts]
+
+        return run
+
+    def missing():
+        raise OSError("no model")
+
+    rows = {r.id: r for r in score(df, explicit).collect()}
+    assert rows[37].explicit_score is None and "bad text" in rows[37].score_error
+    assert all(r.explicit_score.label == "TOXIC" and r.score_error is None for i, r in rows.items() if i != 37)
+    assert all("no model" in r.score_error for r in score(df, explicit, missing).where("id <> 37").collect())
+    with pytest.raises(Exception, match="no model"):
+        score(df, missing, strict=True).collect()
+    whole = score(df, lambda: lambda texts: [[("toxic", float(len(t)))] for t in texts], explicit_chars=None)
+    assert whole._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_pages_by_key_follow_each_other(spark):
+    from sievemark.operators.review import review_page
+
+    df = spark.createDataFrame([(f"d{i % 3}", i) for i in range(30)], "dataset_id string, line_no long")
+    whole = [tuple(r) for r in df.orderBy("dataset_id", "line_no").collect()]
+    seen, after = [], None
+    while page := [tuple(r) for r in review_page(df, per_page=7, after=after).collect()]:
+        seen, after = seen + page, page[-1]
+    assert seen == whole
