@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +23,10 @@ from sievemark.functions.text import STRINGS, empty_strings
 FANOUT = 6
 
 _PREFIX = "__evidence_"
-_HITS, _FOUND, _KEYS, _WORDING, _OTHERS = (
-    _PREFIX + name for name in ("hits", "found", "keys", "wording", "others")
+_HITS, _FOUND, _KEYS, _WORDING, _OTHERS, _SCANNED = (
+    _PREFIX + name for name in ("hits", "found", "keys", "wording", "others", "scanned")
 )
+_ENTRIES = "array<struct<ord:int,match:string>>"
 
 
 def with_evidence(
@@ -46,8 +45,8 @@ def with_evidence(
     ``struct<ord, match>``. Texts outside ``guard`` get empty lists unread.
 
     Literal rules of all lists are found together, in one pass over the text;
-    what is left to do per rule is a lookup among the few words found. Other
-    rules are scanned one by one, under shared guards. Further literal ``words`` are looked for in the
+    what is left to do per rule is a lookup among the few words found. The other
+    rules of all lists are scanned together, under one tree of shared guards. Further literal ``words`` are looked for in the
     same pass; ``words_column`` receives each distinct wording found of any
     literal.
     """
@@ -58,8 +57,14 @@ def with_evidence(
     before = df.columns
     df = _with_literals_found(df, literals, text, guard, words_column)
     if others:
+        # Whether any of them hits is a column of its own: the tree below it reads it, not the text.
         df = df.withColumn(_OTHERS, guard & any_rule(text, others))
-    columns = {name: _list_evidence(patterns, text, positions) for name, patterns in lists.items()}
+        found = _guarded(text, list(enumerate(others)), True, F.array().cast(_ENTRIES))
+        df = df.withColumn(_SCANNED, F.when(F.col(_OTHERS), F.array_compact(found)).otherwise(F.array().cast(_ENTRIES)))
+    columns, start = {}, 0
+    for name, patterns in lists.items():
+        columns[name] = _list_evidence(patterns, positions, start)
+        start += sum(literal_of(rule) is None for rule in patterns)
     kept = [*before, *([words_column] if words_column else []), *columns]
     return df.withColumns(columns).select(*kept)
 
@@ -100,29 +105,41 @@ def _entry(position: Column, match: Column, positions: bool) -> Column:
     return F.struct(position.cast("int").alias("ord"), match.alias("match")) if positions else match
 
 
-def _list_evidence(rules: Sequence[str], text: Column, positions: bool) -> Column:
-    empty = F.array().cast("array<struct<ord:int,match:string>>" if positions else STRINGS)
-    runs, start = [], 0
-    for is_literal, run in groupby(rules, key=lambda rule: literal_of(rule) is not None):
-        run = list(run)
-        if is_literal:
-            runs.append(_literal_run([literal_of(rule) for rule in run], start, positions, empty))
-        else:
-            found = _guarded(text, list(enumerate(run, start)), positions, empty)
-            runs.append(F.when(F.col(_OTHERS), F.array_compact(found)).otherwise(empty))
-        start += len(run)
-    return reduce(lambda a, b: F.concat(a, b), runs) if runs else empty
+def _list_evidence(rules: Sequence[str], positions: bool, start: int) -> Column:
+    """Entries of one list in rule order. ``start`` is the place of its first non-literal
+    rule among those of all lists."""
+    places: dict[bool, list[int]] = {True: [], False: []}
+    for i, rule in enumerate(rules):
+        places[literal_of(rule) is not None].append(i)
+    parts = []
+    mixed = bool(places[True]) and bool(places[False])
+    if places[True]:
+        parts.append(_literal_entries([literal_of(rules[i]) for i in places[True]], places[True]))
+    if places[False]:
+        own = F.filter(_SCANNED, lambda hit: (hit["ord"] >= start) & (hit["ord"] < start + len(places[False])))
+        at = _constants(places[False])
+        parts.append(F.transform(own, lambda hit: _entry(F.get(at, hit["ord"] - start), hit["match"], True)))
+    if not parts:
+        return F.array().cast(_ENTRIES if positions else STRINGS)
+    entries = F.array_sort(F.concat(*parts)) if mixed else parts[0]
+    return entries if positions else F.transform(entries, lambda entry: entry["match"])
 
 
-def _literal_run(literals: Sequence[str], start: int, positions: bool, empty: Column) -> Column:
+def _constants(numbers: Sequence[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>")
+
+
+def _literal_entries(literals: Sequence[str], places: Sequence[int]) -> Column:
     # One constant array of literals, looked up among the words found.
     wanted = F.split(F.lit("\n".join(literals)), "\n")
+    at = _constants(places)
 
     def look_up(literal: Column, i: Column) -> Column:
         match = F.get(_WORDING, _index(F.array_position(_KEYS, literal)))
-        return F.when(match.isNotNull(), _entry(i + start, match, positions))
+        return F.when(match.isNotNull(), _entry(F.get(at, i), match, True))
 
-    return F.when(F.size(_KEYS) > 0, F.array_compact(F.transform(wanted, look_up))).otherwise(empty)
+    found = F.array_compact(F.transform(wanted, look_up))
+    return F.when(F.size(_KEYS) > 0, found).otherwise(F.array().cast(_ENTRIES))
 
 
 def _guarded(text: Column, rules: Sequence[tuple[int, str]], positions: bool, empty: Column) -> Column:

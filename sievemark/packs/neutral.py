@@ -47,4 +47,14 @@ def wide_rules() -> tuple[str, ...]:
     return tuple(rf"\b{a}{b}\b" for a, b in product(_PARTS, _PARTS))
 
 
+def mixed_rules() -> tuple[str, ...]:
+    """The same list with one rule in 14 that is no literal, of four kinds by turns."""
+    rules = []
+    for i, (a, b) in enumerate(product(_PARTS, _PARTS)):
+        kinds = (rf"\b{a}.?{b}\b", rf"\b{a}.{{0,20}}{b}\b", rf"\b{a}.*{b}\b", rf"\b[{a[0]}x]{a[1:]}{b}\b")
+        rules.append(kinds[i // 14 % 4] if i % 14 == 13 else rf"\b{a}{b}\b")
+    return tuple(rules)
+
+
 WIDE = RulePack(explicit=(("en", wide_rules()),))
+MIXED = RulePack(explicit=(("en", mixed_rules()),))

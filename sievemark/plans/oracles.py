@@ -235,6 +235,24 @@ SELECT d.doc_id, coalesce(h.n, 0) > 0 AS is_explicit, CAST(coalesce(h.n, 0) AS B
 FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id"""
 
 
+def _mixed_rule_scan() -> str:
+    parts = "th er ti on re an ing ed st ou nd ha at en es or nt ea it is hi sh ly ble".split()
+    pairs = [(a, b) for a in parts for b in parts]
+    literal = ", ".join(f"'{a}{b}'" for i, (a, b) in enumerate(pairs) if i % 14 != 13)
+    cores = []
+    for i, (a, b) in enumerate(pairs):
+        if i % 14 == 13:
+            cores.append([f"{a}.?{b}", f"{a}.{{0,20}}{b}", f"{a}.*{b}", f"[{a[0]}x]{a[1:]}{b}"][i // 14 % 4])
+    other = " + ".join(f"CAST({has('text', core)} AS INT)" for core in cores)
+    return rf"""
+WITH rules AS (SELECT rule, count(*) AS copies FROM (SELECT unnest([{literal}]) AS rule) GROUP BY rule),
+words AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '{SEP}+')) AS rule FROM documents),
+hits AS (SELECT doc_id, sum(copies) AS n FROM words JOIN rules USING (rule) GROUP BY doc_id),
+counted AS (SELECT d.doc_id, CAST(coalesce(h.n, 0) + {other} AS BIGINT) AS rules_hit
+  FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id)
+SELECT doc_id, rules_hit > 0 AS is_explicit, rules_hit FROM counted"""
+
+
 _CATEGORY_SCORES = ", ".join(
     f"(l.doc_id * {7 * i + 3} % 101) / 100.0::DOUBLE AS {name}_score" for i, name in enumerate([*CATEGORIES, "safe"])
 )
@@ -284,6 +302,7 @@ FROM scored""",
         "threshold_two": scored(threshold=2)
         + f"SELECT doc_id, is_explicit, {flags}, {matches}, verification_reason, keep FROM scored",
         "wide_rule_scan": _wide_rule_scan(),
+        "mixed_rule_scan": _mixed_rule_scan(),
         "category_flags": plain + f"SELECT doc_id, is_sensitive, categories, {flags}, {matches} FROM scored",
         "category_rules": plain
         + f"SELECT doc_id, {', '.join(f'{joined(f"r_{c}")} AS {c}_rules' for c in CATEGORIES)} FROM scored",

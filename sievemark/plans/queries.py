@@ -14,7 +14,7 @@ from sievemark.operators.proximity import boosted
 from sievemark.operators.scores import EXPLICIT_SCORE, score, with_scores
 from sievemark.operators.screen import ScreenConfig, screen, screen_categories, screen_explicit
 from sievemark.packs import RulePack
-from sievemark.packs.neutral import NEUTRAL, WIDE
+from sievemark.packs.neutral import MIXED, NEUTRAL, WIDE
 from sievemark.plans.run import (
     DETAIL_NAME,
     REJECTED_NAME,
@@ -128,6 +128,15 @@ def wide_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def mixed_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A production-sized rule list of which one in 14 is no literal."""
+    scored = screen_explicit(_documents(spark, sf_dir), MIXED)
+    return scored.select(
+        "doc_id", "explicit.is_explicit", _size("explicit.matched_keywords").alias("rules_hit")
+    )
+
+
 @query
 def category_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = screen_categories(_documents(spark, sf_dir), NEUTRAL)
