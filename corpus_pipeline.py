@@ -44,16 +44,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and the digest of what they decode to."""
+    """Ids of every text, and digests of them and of what they decode to."""
     path = tokenizer_path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path), path)
-    return decoded.select(
-        "doc_id",
-        "source",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(docs.select("doc_id", "source", "text"), path)
 
 
 STAGES: list[tuple[str, Stage]] = [

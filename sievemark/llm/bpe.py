@@ -36,8 +36,8 @@ from sievemark.llm.lexicon import Lexicon, compile_words, find, hash_table
 from sievemark.session import scratch_path
 
 LEXICON_WORDS = 32_768
-CACHED_WORDS = 500_000
-CHUNK_CHARS = 1 << 21
+CACHED_WORDS = 200_000
+CHUNK_CHARS = 1 << 20
 
 # Fixed value: the pre-tokenizer pattern of byte-level BPE.
 _PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -258,12 +258,13 @@ def word_counts(documents: DataFrame, text: str = "text") -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter: Counter[str] = Counter()
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                if value:
-                    counter.update(value.split(" ")[1:])
-            if len(counter) > 1_000_000:
-                yield _counted(counter)
-                counter = Counter()
+            for at in range(0, batch.num_rows, 256):
+                for value in batch.column(0).slice(at, 256).to_pylist():
+                    if value:
+                        counter.update(value.split(" ")[1:])
+                if len(counter) > 400_000:
+                    yield _counted(counter)
+                    counter = Counter()
         yield _counted(counter)
 
     partial = documents.select(text).mapInArrow(count, "word string, n long")
@@ -277,14 +278,35 @@ def _counted(counter: Counter[str]) -> pa.RecordBatch:
     )
 
 
+def frequent_words(counts: DataFrame, size: int) -> list[str]:
+    """At most ``size`` of the most frequent words: all from the smallest count class that leaves no more.
+
+    The classes (16 to an octave) are counted first, so that no more than ``size`` words
+    leave the executors, however many tasks hold them.
+    """
+    spark = counts.sparkSession
+    path = scratch_path(spark, "words")
+    counts.write.parquet(path)
+    counted = spark.read.parquet(path).withColumn("__class", F.floor(F.log2("n") * 16 + 1e-9))
+    classes = sorted(counted.groupBy("__class").agg(F.count("*").alias("words")).collect(), reverse=True)
+    taken, least = 0, None
+    for row in classes:
+        if taken + row["words"] > size:
+            break
+        taken, least = taken + row["words"], row["__class"]
+    if least is None:
+        return []
+    rows = counted.where(F.col("__class") >= least).select("word", "n").collect()
+    return [r["word"] for r in sorted(rows, key=lambda r: (-r["n"], r["word"]))]
+
+
 def publish_lexicon(
     documents: DataFrame, tokenizer: str, text: str = "text", size: int = LEXICON_WORDS
 ) -> str:
-    """Compile the ``size`` most frequent words and send the file to all executors; its name."""
+    """Compile the most frequent words (at most ``size``) and send the file to all executors; its name."""
     spark = documents.sparkSession
-    top = word_counts(documents, text).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
     tables = _tables(_content(tokenizer))
-    words = [(" " + row[0]) for row in top]
+    words = [" " + w for w in frequent_words(word_counts(documents, text), size)]
     words = [w for w in words if not any(s in w for s in tables.special)]
     plain = Encoder(tables, None)
     found = plain._resolve([w[1:] for w in words], True)
@@ -330,6 +352,17 @@ def _chunks(values: list[str]) -> Iterator[list[str]]:
         yield chunk
 
 
+def _slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Stretches of rows of a bounded size together, with their texts (null: empty)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            begin = 0
+            for chunk in _chunks([v or "" for v in part.column(text).to_pylist()]):
+                yield part.slice(begin, len(chunk)), chunk
+                begin += len(chunk)
+
+
 def encode(documents: DataFrame, tokenizer: str, text: str = "text", lexicon: str | None = None) -> DataFrame:
     """Add ``ids`` (little-endian unsigned 32-bit integers) to documents.
 
@@ -341,41 +374,50 @@ def encode(documents: DataFrame, tokenizer: str, text: str = "text", lexicon: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer, name)
-        for batch in batches:
-            values = [v or "" for v in batch.column(text).to_pylist()]
-            ids = [i for chunk in _chunks(values) for i in encoder.encode(chunk)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=schema.fieldNames())
+        for part, texts in _slices(batches, text):
+            ids = pa.array(encoder.encode(texts), pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns, ids], names=schema.fieldNames())
 
     return documents.mapInArrow(run, schema)
 
 
-def digests(documents: DataFrame, tokenizer: str, order: str = "doc_id", text: str = "text", lexicon: str | None = None) -> DataFrame:
-    """Per document: id count, digest of the ids, and digest of the text decoded from them."""
+def round_trip(
+    documents: DataFrame, tokenizer: str, text: str = "text", lexicon: str | None = None, keep_ids: bool = True
+) -> DataFrame:
+    """Replace the text by its id count, ``ids`` and digests of the ids and of the text decoded from them.
+
+    Encoding and decoding share one pass and one Python worker.
+    """
     name = lexicon or publish_lexicon(documents, tokenizer, text)
+    documents = without(documents, "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    kept = [f for f in documents.schema.fields if f.name != text]
+    added = [
+        T.StructField("n_tokens", T.LongType()),
+        *([T.StructField("ids", T.BinaryType())] if keep_ids else []),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ]
+    schema = T.StructType([*kept, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer, name)
-        for batch in batches:
-            values = [v or "" for v in batch.column(1).to_pylist()]
-            counts: list[int] = []
-            encoded: list[str] = []
-            decoded: list[str] = []
-            for chunk in _chunks(values):
-                rows = encoder.encode(chunk)
-                counts += [len(r) // 4 for r in rows]
-                encoded += [hashlib.sha256(r).hexdigest() for r in rows]
-                decoded += [hashlib.sha256(t.encode()).hexdigest() for t in decode_rows(encoder.tables, rows)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())],
-                names=[order, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        for part, texts in _slices(batches, text):
+            rows = encoder.encode(texts)
+            columns = [part.column(f.name) for f in kept]
+            columns.append(pa.array([len(r) // 4 for r in rows], pa.int64()))
+            if keep_ids:
+                columns.append(pa.array(rows, pa.binary()))
+            columns.append(pa.array([hashlib.sha256(r).hexdigest() for r in rows], pa.string()))
+            decoded = decode_rows(encoder.tables, rows)
+            columns.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    kind = documents.schema[order].dataType
-    schema = T.StructType([
-        T.StructField(order, kind), T.StructField("n_tokens", T.LongType()),
-        T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
-    ])
-    return documents.select(order, text).mapInArrow(run, schema)
+    return documents.mapInArrow(run, schema)
+
+
+def digests(documents: DataFrame, tokenizer: str, order: str = "doc_id", text: str = "text", lexicon: str | None = None) -> DataFrame:
+    """Per document: id count, digest of the ids, and digest of the text decoded from them."""
+    return round_trip(documents.select(order, text), tokenizer, text, lexicon, keep_ids=False)
 
 
 def decode_rows(tables: Tables, rows: Sequence[bytes]) -> list[str]:
