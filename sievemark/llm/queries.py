@@ -102,7 +102,10 @@ def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     documents = table(spark, sf_dir, "documents")
-    slim = documents.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
+    # Counted once and written: three jobs read the sizes.
+    path = scratch_path(spark, "sizes")
+    documents.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size")).write.parquet(path)
+    slim = spark.read.parquet(path)
     return mixing.mix(slim, size="size").select("doc_id", "size", "source_size", "target", "taken")
 
 
