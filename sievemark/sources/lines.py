@@ -19,6 +19,8 @@ from sievemark.sources.numbering import located, numbered
 UPLOAD_ENDINGS = ("jsonl", "json", "txt")
 
 _REASON = "__reason"
+# Python writes and reads these as numbers; strict JSON has null at most. Only outside of strings.
+_NOT_A_NUMBER = r"""(?<![A-Za-z0-9_])(?:NaN|-?Infinity)(?![A-Za-z0-9_])(?=(?:[^"\\]|"(?:[^"\\]|\\.)*+")*+$)"""
 _SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:/+"
 
 
@@ -38,7 +40,9 @@ def _with_json(lines: DataFrame) -> DataFrame:
     array could slip through; such lines are checked a second time as a member
     of an object. The parsed array is a column of its own, to be built once.
     """
-    line = F.col("__line")
+    line = F.when(F.col("__line").rlike("NaN|Infinity"), F.regexp_replace("__line", _NOT_A_NUMBER, "null"))
+    lines = lines.withColumn("__strict", F.coalesce(line, F.col("__line")))
+    line = F.col("__strict")
     in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
     lines = lines.withColumn("__array", F.when(line.startswith("{") & line.endswith("}"), in_array))

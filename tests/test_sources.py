@@ -41,6 +41,12 @@ JSON_CASES = [
     ('{"text": "first", "text": "last"}', "last"),
     ('{"text": "a",}', '{"text": "a",}'),
     ('{"text": "tab\there"}', '{"text": "tab\there"}'),
+    ('{"a": NaN, "text": "n"}', "n"),
+    ('{"text": "x: NaN, \\"y\\"", "v": [-Infinity, Infinity]}', 'x: NaN, "y"'),
+    ('{"text": "NaN", "v": NaN}', "NaN"),
+    ('{"text": NaN}', REJECTED),
+    ('{"a": NaNx, "text": "n"}', '{"a": NaNx, "text": "n"}'),
+    ('{"a": -NaN, "text": "n"}', '{"a": -NaN, "text": "n"}'),
     ("{}", "{}"),
     ("{", "{"),
     ('["text"]', '["text"]'),
