@@ -338,6 +338,9 @@ SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'TOXIC' ELSE 'NEUTRAL' END AS table
   CASE WHEN doc_id % 3 = 0 THEN 'TOXIC' ELSE 'NEUTRAL' END AS scorer_label, 0.5::DOUBLE AS score,
   CAST(NULL AS VARCHAR) AS score_error FROM documents""",
         "flagged_report": plain + flagged,
+        "flagged_timestamps": plain
+        + """SELECT doc_id, strftime(make_timestamp(doc_id * 86413000000 + 250000), '%Y-%m-%dT%H:%M:%S.%f') AS timestamp
+FROM scored WHERE NOT keep""",
         "flagged_csv_shape": plain + f"SELECT doc_id, {TABLE} FROM scored WHERE NOT keep",
         "issue_summary": plain + f"SELECT {COUNTERS} FROM scored",
         "issue_summary_by_source": plain + f"SELECT source, {COUNTERS} FROM scored GROUP BY source",

@@ -389,6 +389,14 @@ def flagged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(report.flagged_detail(_scored(spark, sf_dir), NEUTRAL, keys=DOC), DOC)
 
 
+@query
+def flagged_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time of detection as the reports write it, from an instant given per document."""
+    instant = F.timestamp_seconds(F.col("doc_id") * 86_413 + F.lit(0.25))
+    detail = report.flagged_detail(_scored(spark, sf_dir), NEUTRAL, keys=DOC, run_ts=instant)
+    return detail.select("doc_id", "timestamp")
+
+
 @query
 def flagged_csv_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.flagged_table(_scored(spark, sf_dir), NEUTRAL, keys=DOC).drop("timestamp")
@@ -569,13 +577,16 @@ def run_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = spark.read.schema("dataset_id string, line_no long, text string").json(sinks.cleaned_path(output, "dataset"))
     rejected = spark.read.json(f"{output}/reports/{REJECTED_NAME}")
     keys = cleaned.select("dataset_id", "line_no").union(rejected.select("dataset_id", "line_no"))
-    distinct = keys.distinct().agg(F.count(F.lit(1)).alias("distinct_keys"))
-    counted = keys.agg(F.count(F.lit(1)).alias("kept_and_rejected"))
-    facts = summary.select(
-        "total_processed", "total_flagged", "total_rejected", F.col("cleaned_output").endswith("dataset_cleaned.jsonl").alias("named"),
-        F.col("device").startswith("local").alias("known_device") | F.col("device").isNotNull(),
-    ).toDF("total_processed", "total_flagged", "total_rejected", "named", "known_device")
-    return facts.join(distinct).join(counted)
+    counts = keys.agg(F.count_distinct("dataset_id", "line_no"), F.count(F.lit(1))).first()
+    return summary.select(
+        "total_processed",
+        "total_flagged",
+        "total_rejected",
+        F.col("cleaned_output").endswith("dataset_cleaned.jsonl").alias("named"),
+        (F.col("device") == spark.sparkContext.master).alias("known_device"),
+        F.lit(counts[0]).cast("long").alias("distinct_keys"),
+        F.lit(counts[1]).cast("long").alias("kept_and_rejected"),
+    )
 
 
 @query
