@@ -21,24 +21,25 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
     nodes = whole.select(F.least(left, right).alias("low"), F.greatest(left, right).alias("high"))
     state = durable(nodes.where(F.col("low") != F.col("high")).distinct())
     loops = nodes.select(F.explode(F.array("low", "high")).alias("node")).distinct()
-    before = None
-    while True:
+    before, now = None, _digest(state)
+    while now != before:
         state = durable(_small_star(_large_star(state)))
-        now = state.agg(
-            F.count("*"), F.sum(F.xxhash64("low", "high").cast("decimal(20,0)"))
-        ).first()
-        if now == before:
-            break
-        before = now
+        before, now = now, _digest(state)
     hung = state.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("root"))
     return loops.join(hung, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """Changes if the set of edges does."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("low", "high").cast("decimal(20,0)"))).first())
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("low").alias("n"), F.col("high").alias("m")).union(edges.select("high", "low"))
     least = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"))
     larger = both.where(F.col("m") > F.col("n"))
-    return larger.join(least, "n").select(F.col("least").alias("low"), F.col("m").alias("high")).distinct()
+    # Repeated edges are left to the small star behind it.
+    return larger.join(least, "n").select(F.col("least").alias("low"), F.col("m").alias("high"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
