@@ -44,7 +44,7 @@ _PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 _RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letters that stand for bytes in the vocabulary: printable ones for themselves,
     the others in turn from code point 256 on."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -58,7 +58,7 @@ class Tables:
     def __init__(self, content: str):
         spec = json.loads(content)
         vocabulary = spec["model"]["vocab"]
-        letters = _byte_letters()
+        letters = byte_letters()
         byte_of = {c: b for b, c in letters.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.splitter = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None

@@ -33,6 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievemark.llm.bpe import byte_letters
+
 BLOCK_TOKENS = 1 << 19
 ROUNDS = 4
 PAIRS_PER_ROUND = 1024
@@ -48,6 +50,9 @@ _BLOCK = (
 )
 
 
+_BYTE_LETTERS = byte_letters()
+
+
 class Words:
     """Ids of texts by the tokenizers library, asked once per distinct word.
 
@@ -63,14 +68,12 @@ class Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
-        self.closes = np.zeros(self.size, dtype=bool)
-        self.closes[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
 
     def _ask(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words. Letters and the marks behind them are separate pre-tokens, so
-        their ids follow each other; of letters alone many words go into one call, as
-        every one ends in a token that closes a word."""
+        their ids follow each other."""
         found: dict[str, bytes] = {}
         split: list[tuple[str, str, str]] = []
         letters: set[str] = set()
@@ -86,18 +89,11 @@ class Words:
                     letters.add(core)
                 if marks and marks not in self.known:
                     rest.add(marks)
-        plain = list(letters)
-        for at in range(0, len(plain), 500):
-            group = plain[at : at + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(group):
-                rest.update(group)
-                continue
-            flat, begin = ids.tobytes(), 0
-            for word, end in zip(group, (ends * 4).tolist()):
-                found[word] = flat[begin:end]
-                begin = end
+        for word in letters:
+            # Letters need no normaliser but lower case, and are one pre-token: the model itself encodes them.
+            low = word.lower()
+            spelled = low if low.isascii() else "".join([_BYTE_LETTERS[b] for b in low.encode()])
+            found[word] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         others = list(rest)
         for word, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
             found[word] = array("I", encoding.ids).tobytes()
@@ -157,7 +153,9 @@ def compress(
         at = np.flatnonzero((counts >= min_count)[slot] & open_)
         if not len(at):
             break
-        pairs, place, n = np.unique(keys[at], return_inverse=True, return_counts=True)
+        ordered = np.sort(keys[at])
+        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        pairs, n = ordered[first], np.diff(np.r_[first, len(ordered)])
         order = np.argsort(-n, kind="stable")
         order = order[n[order] >= min_count][: 4 * per_round]
         begins, finishes, chosen = set(), set(), []
@@ -172,11 +170,17 @@ def compress(
                 break
         if not chosen:
             break
-        made = np.full(len(pairs), -1, dtype=np.int64)
-        for k, (i, a, b) in enumerate(chosen):
-            made[i] = base + len(rules) + k
-        made_at = made[place]
-        spots, new = at[made_at >= 0], made_at[made_at >= 0]
+        # Most places are ruled out by their two symbols, the rest by their pair.
+        wanted = pairs[[i for i, _, _ in chosen]]
+        by_key = np.argsort(wanted)
+        wanted, new_of = wanted[by_key], base + len(rules) + by_key
+        flags = np.zeros(base + len(rules), dtype=np.uint8)
+        flags[list(begins)] |= 1
+        flags[list(finishes)] |= 2
+        spots = at[(flags[symbols[at]] & 1 > 0) & (flags[symbols[at + 1]] & 2 > 0)]
+        place = np.minimum(np.searchsorted(wanted, keys[spots]), len(wanted) - 1)
+        hit = wanted[place] == keys[spots]
+        spots, new = spots[hit], new_of[place[hit]]
         fresh = np.flatnonzero(np.r_[True, np.diff(spots) != 1])
         turn = np.arange(len(spots)) - np.repeat(fresh, np.diff(np.r_[fresh, len(spots)]))
         spots, new = spots[turn % 2 == 0], new[turn % 2 == 0]
