@@ -301,3 +301,18 @@ def test_copies_follow_the_mix(spark):
         words[r.doc_id] += len(r.text.split())
     assert words == Counter({r.doc_id: r.taken for r in mixed.collect() if r.taken})
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
+
+
+# --- columns of the same names ---
+
+
+def test_own_columns_replace_those_of_the_same_name(spark):
+    rows = [(i, f"w{i} b c d", "en", "ab"[i % 2], 9) for i in range(8)]
+    names = ["size", "TARGET", "taken", "Source_Size", "n_words", "RULE", "kept", "words"]
+    df = spark.createDataFrame(rows, DOCS).select("*", *[F.lit("own").alias(n) for n in names])
+    mixed = mixing.mix(df)
+    assert sorted(c.lower() for c in mixed.columns) == sorted({c.lower() for c in mixed.columns})
+    assert all(r["size"] == 4 and r["kept"] == "own" for r in mixed.collect())
+    judged = quality.judge(df, spark.createDataFrame([(1, 0)], "doc_id long, quality int"))
+    assert len({c.lower() for c in judged.columns}) == len(judged.columns)
+    assert all(r["n_words"] == 4 and r["rule"] is None and r["kept"] == "own" for r in judged.collect())
