@@ -47,7 +47,7 @@ def find(keys: np.ndarray, table: np.ndarray, place: np.ndarray, bits: int) -> n
     """Positions of keys, -1 where absent."""
     at = slots(keys, bits)
     out = np.full(len(keys), -1, dtype=np.int64)
-    open_, probe = None, 0
+    probe = 0
     got = table[at]
     hit = got == keys
     out[hit] = place[at[hit]]
