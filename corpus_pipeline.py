@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from sievemark.llm import bpe, forest, language, mixing, privacy
 from sievemark.llm.queries import tokenizer_path
+from sievemark.llm.scratch import step
 from sievemark.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+@step
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter go."""
     held_out = language.fold(F.col("doc_id"), 3) == 1
@@ -26,23 +28,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.identify(docs, training).where(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
 
 
+@step
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
     return forest.keep_one(docs)
 
 
+@step
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced; ``n_chars`` follows the text."""
     cleaned = privacy.sanitise(privacy.find_spans(docs))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@step
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; ``n_chars`` follows the text where a budget ends in one."""
     taken = mixing.copies(mixing.mix(docs))
     return taken.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@step
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and digests of them and of what they decode to."""
     path = tokenizer_path("byte_bpe_50k.json")

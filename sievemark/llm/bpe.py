@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievemark import session
 from sievemark.llm.columns import without
 from sievemark.llm.lexicon import Lexicon, compile_words, find, hash_table
-from sievemark.session import scratch_path
+from sievemark.llm.scratch import scratch_path
 
 LEXICON_WORDS = 32_768
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 CHUNK_CHARS = 1 << 20
 
 # Fixed value: the pre-tokenizer pattern of byte-level BPE.
@@ -165,6 +166,11 @@ class Encoder:
         self.inner: dict[str, bytes] = {}  # words with a space before them, by the word alone
         self.outer: dict[str, bytes] = {}  # pieces as they stand
 
+    def forget(self) -> None:
+        """Give the words back at the end of a task; the worker may serve other stages next."""
+        self.inner.clear()
+        self.outer.clear()
+
     def _resolve(self, pieces: list[str], spaced: bool) -> dict[str, bytes]:
         """Ids of distinct pieces: from the lexicon, else by exact merging."""
         lead = " " if spaced else ""
@@ -319,7 +325,8 @@ def _send(spark: SparkSession, blob: bytes) -> str:
 
     Executors that join later fetch it too.
     """
-    path = scratch_path(spark, "lexicon") + ".bin"
+    # Not one of a step's own tables: executors that join later still ask for it.
+    path = session.scratch_path(spark, "lexicon") + ".bin"
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
@@ -334,7 +341,7 @@ def _content(tokenizer: str) -> str:
         return file.read()
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _encoder(tokenizer: str, lexicon: str) -> Encoder:
     return Encoder(_tables(_content(tokenizer)), Lexicon(SparkFiles.get(lexicon)))
 
@@ -377,6 +384,7 @@ def encode(documents: DataFrame, tokenizer: str, text: str = "text", lexicon: st
         for part, texts in _slices(batches, text):
             ids = pa.array(encoder.encode(texts), pa.binary())
             yield pa.RecordBatch.from_arrays([*part.columns, ids], names=schema.fieldNames())
+        encoder.forget()
 
     return documents.mapInArrow(run, schema)
 
@@ -411,6 +419,7 @@ def round_trip(
             decoded = decode_rows(encoder.tables, rows)
             columns.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+        encoder.forget()
 
     return documents.mapInArrow(run, schema)
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from sievemark.llm.components import components
 from sievemark.llm.texts import document_words, mixed
-from sievemark.session import scratch_path
+from sievemark.llm.scratch import scratch_path
 
 TREES = 24
 MIN_DEPTH = 4

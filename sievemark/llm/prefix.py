@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievemark.session import scratch_path
+from sievemark.llm.scratch import scratch_path
 
 _PART, _LOCAL = "__part", "__local_before"
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.columns import without
-from sievemark.session import scratch_path
+from sievemark.llm.scratch import scratch_path
 
 #: Kinds in output order; ``term`` comes from the corpus statistics.
 KINDS = ("email", "ip", "card", "phone")
@@ -168,7 +168,8 @@ def disclosures(
     candidates = pairs.select("term").distinct()
     n_all = F.lit(documents.count())
     words = documents.select(F.explode(_terms(F.col(text))).alias("term"))
-    frequency = words.join(candidates, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    # Counted before they meet the candidates: one row per term and task, however common a term is.
+    frequency = words.groupBy("term").agg(F.count("*").alias("n_term")).join(candidates, "term", "left_semi")
     entity_counts = near.groupBy("entity").agg(F.count_distinct("text_key").alias("n_entity"))
     p_entity = F.col("n_entity") / n_all
     joint = F.col("n_both") * n_all / (F.col("n_entity") * F.greatest("n_term", "n_both"))

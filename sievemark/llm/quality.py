@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.columns import without
-from sievemark.session import scratch_path
+from sievemark.llm.scratch import scratch_path
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"

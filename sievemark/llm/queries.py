@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemark.llm import bpe, forest, katz, language, mixing, privacy, quality, repair, spotsigs, urls
-from sievemark.session import scratch_path
+from sievemark.llm.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
