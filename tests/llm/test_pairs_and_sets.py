@@ -44,6 +44,20 @@ def test_components_equal_all_pairs(spark, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
 
 
+def test_crowd_around_the_threshold_equals_all_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(260):
+        own = list(base)
+        for at in rng.sample(range(300), rng.randint(4, 7)):
+            own[at] = f"x{i}_{at}" if rng.random() < 0.5 else f"y{at}"
+        rows.append((i, " ".join(own), "s"))
+    monkeypatch.setattr(forest, "BLOCK", 32)
+    got = forest.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components([(i, t) for i, t, _ in rows])
+
+
 def test_one_of_each_component_stays(spark):
     rows = _texts(3)
     kept = {r.doc_id for r in forest.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()}
