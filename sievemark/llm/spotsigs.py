@@ -11,7 +11,9 @@ wanted likeness lie in the same or in adjacent partitions, meets them on their r
 signatures only, and stops comparing where the lengths, or what is left of both sets,
 rule the likeness out.
 
-Defined cases: a null text counts as empty; a text without content words has one
+Defined cases: a text in which no anchor has content words behind it (another language,
+a list of names) spots a chain at every content word instead, so that its signatures
+cover it to its end; a null text counts as empty; a text without content words has one
 signature, the hash of the whole text; rows without an id come first in the order,
 rows of one id follow by text; an empty table gives an empty result; extra columns are
 not carried along.
@@ -44,6 +46,7 @@ CHAIN = 2
 _generator = np.random.default_rng(4711)
 _STEP = _generator.integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _START = np.uint64(0x5374617274)
+_EVERY = np.uint64(0x4576657279)
 
 
 @lru_cache(maxsize=4)
@@ -66,7 +69,13 @@ def signature_sets(column: pa.Array, anchors: tuple[str, ...] = ANCHORS, chain:
         value = np.concatenate([words[anchors_at], np.full(len(bounds) - 1, _START)]) * _STEP[0]
         follow = np.concatenate([before[anchors_at + 1], before[bounds[:-1]]])
         filled = follow < last[owner]
-        owner, value, follow = owner[filled], value[filled], follow[filled]
+        spotted = np.zeros(len(bounds) - 1, dtype=bool)
+        spotted[owner[: len(anchors_at)][filled[: len(anchors_at)]]] = True
+        holder = document[~spot]
+        every = np.flatnonzero(~spotted[holder])
+        owner = np.concatenate([owner[filled], holder[every]])
+        value = np.concatenate([value[filled], np.full(len(every), _EVERY) * _STEP[0]])
+        follow = np.concatenate([follow[filled], every])
         for k in range(chain):
             there = follow + k < last[owner]
             step = np.where(there, content[np.minimum(follow + k, max(0, len(content) - 1))], np.uint64(0)) if len(content) else np.zeros(len(owner), np.uint64)

@@ -121,6 +121,14 @@ def test_signatures_are_anchor_and_chain(spark):
     assert [len(s) for s in spotsigs.signature_sets(_column(["", None, "the of", "!!"]))] == [1, 1, 1, 1]
 
 
+def test_texts_without_anchors_are_covered_to_their_end():
+    words = [f"słowo{i}" for i in range(40)]
+    texts = [" ".join(words), " ".join(words[:20] + ["inne"] * 20), " ".join(words[:39] + ["inne"]), " ".join(words) + " the"]
+    a, b, c, d = spotsigs.signature_sets(_column(texts))
+    assert len(a) == 41 and spotsigs.likeness(a, b) < 0.6 and 0.9 < spotsigs.likeness(a, c) < 1
+    assert spotsigs.likeness(a, d) == 1.0  # an anchor with nothing behind it spots nothing
+
+
 def _column(values):
     import pyarrow as pa
 
