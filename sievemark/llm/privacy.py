@@ -2,15 +2,15 @@
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. They are the
 protected entities. Corpus statistics then say which ordinary terms give them away:
-with p(x) the share of documents that hold x, and p(e, t) the share in which term t
-stands near entity e,
+with p(x) the share of different texts that hold x, and p(e, t) the share in which
+term t stands near entity e,
 
     disclosure(t, e) = log2(p(e, t) / (p(e) p(t))) / -log2 p(e)
 
 is 1 where the term determines the entity and 0 where they are independent. Terms
 from ``generalise_at`` on are replaced by a class name where the entity occurs, from
-``remove_at`` on they are removed. Copies of a text count once near entities, while
-p(t) counts every document, so that copies can only make terms look less revealing.
+``remove_at`` on they are removed. Copies of a text count once in
+all shares, so that copying texts changes no score.
 
 All of it is DataFrame work with built-in functions. Documents without personal data
 are read once and pass through; only texts that hold some are kept for the second look.
@@ -166,8 +166,10 @@ def disclosures(
     if pairs.isEmpty():
         return spark.createDataFrame([], "entity string, term string, disclosure double")
     candidates = pairs.select("term").distinct()
-    n_all = F.lit(documents.count())
-    words = documents.select(F.explode(_terms(F.col(text))).alias("term"))
+    key = F.xxhash64(text)
+    n_all = F.lit(documents.agg(F.count_distinct(key)).first()[0])
+    different = documents.groupBy(key.alias("text_key")).agg(F.first(text).alias("__text"))
+    words = different.select(F.explode(_terms(F.col("__text"))).alias("term"))
     # Counted before they meet the candidates: one row per term and task, however common a term is.
     frequency = words.groupBy("term").agg(F.count("*").alias("n_term")).join(candidates, "term", "left_semi")
     entity_counts = near.groupBy("entity").agg(F.count_distinct("text_key").alias("n_entity"))

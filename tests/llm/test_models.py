@@ -188,6 +188,14 @@ def test_decision_list_without_labels(spark):
 # --- privacy ---
 
 
+def test_copies_of_texts_change_no_disclosure(spark):
+    held = [f"call Zoltan at z@zoltan.org now {i}" for i in range(3)]
+    texts = held * 30 + [f"call anyone at noon {i}" for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.text for r in privacy.sanitise(privacy.find_spans(df.repartition(3))).collect()}
+    assert not any("Zoltan" in t for t in out) and "call anyone at noon 7" in out
+
+
 def test_base_spans_equal_plain_ones(spark):
     rng = random.Random(10)
     parts = ["a", "B.", "@", "x@y.z", "1", "23", ".", "-", " ", "+", "(", "4111111111111111", "10.0.0.255", "256", "é", "😀", "\n", "_", "c@d.e", "+1 555 0100 200"]
