@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, forest, katz, language, mixing, privacy, quality, repair, spotsigs, urls
+from sievemark.llm import bpe, forest, katz, language, merkle, mixing, privacy, quality, repair, spotsigs, urls
 from sievemark.llm.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +128,22 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.fold(F.col("doc_id"), 3) == 1
     training = language.training_texts(documents.where(~held_out))
     return language.identify(documents.select("doc_id", "text", held_out.alias("held_out")), training).drop("text")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; one in five checked with its text lower-cased."""
+    documents = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    text = F.when(tampered, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    checked = [text if name == "text" else F.col(name) for name in fields]
+    # Texts are read once and digested; only digests and keys move.
+    slim = documents.select(
+        "doc_id", "source", merkle.leaf([F.col(c) for c in fields]).alias("digest"), merkle.leaf(checked).alias("checked")
+    )
+    found = merkle.manifest(slim, F.col("source"), F.col("doc_id"), F.col("digest"), F.col("checked"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
