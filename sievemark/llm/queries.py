@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, forest, katz, language, licenses, merkle, mixing, privacy, quality, repair, spotsigs, urls
+from sievemark.llm import bpe, dialogue, forest, katz, language, licenses, merkle, mixing, privacy, quality, repair, spotsigs, urls
 from sievemark.llm.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,3 +154,9 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrase places and labels of every whole text, the signature rules' labels and a score."""
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, least repair cost, audit and repaired digest of every damaged conversation."""
+    return dialogue.repair_all(table(spark, sf_dir, "conversations"))

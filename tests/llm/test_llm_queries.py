@@ -22,7 +22,7 @@ def docs(spark):
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 13)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
