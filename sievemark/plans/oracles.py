@@ -302,6 +302,7 @@ FROM scored""",
         "threshold_two": scored(threshold=2)
         + f"SELECT doc_id, is_explicit, {flags}, {matches}, verification_reason, keep FROM scored",
         "wide_rule_scan": _wide_rule_scan(),
+        "indexed_rule_scan": _wide_rule_scan(),
         "mixed_rule_scan": _mixed_rule_scan(),
         "category_flags": plain + f"SELECT doc_id, is_sensitive, categories, {flags}, {matches} FROM scored",
         "category_rules": plain

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sievemark.operators import report, review
 from sievemark.operators.evaluate import confusion, pass_counts, passes
 from sievemark.operators.evidence import entity_hits, with_evidence
+from sievemark.operators.indexed import rule_hits
 from sievemark.operators.proximity import boosted
 from sievemark.operators.scores import EXPLICIT_SCORE, score, with_scores
 from sievemark.operators.screen import ScreenConfig, screen, screen_categories, screen_explicit
@@ -128,6 +129,14 @@ def wide_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def indexed_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production-sized rule list as a table, joined with the documents' words."""
+    rules = spark.createDataFrame(list(enumerate(WIDE.explicit[0][1])), "rule_id long, rule string")
+    hits = rule_hits(_documents(spark, sf_dir), rules)
+    return hits.select("doc_id", (F.col("rules_hit") > 0).alias("is_explicit"), "rules_hit")
+
+
 @query
 def mixed_rule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A production-sized rule list of which one in 14 is no literal."""
