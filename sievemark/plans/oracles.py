@@ -263,7 +263,7 @@ SELECT d.*, CASE WHEN l.doc_id IS NULL THEN NULL
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 _LENGTH_SCORES = """
-SELECT *, CASE WHEN shown % 100 > 50 THEN 'TOXIC' ELSE 'NEUTRAL' END AS ml_label,
+SELECT *, CASE WHEN shown % 100 >= 50 THEN 'TOXIC' ELSE 'NEUTRAL' END AS ml_label,
   greatest(0.5::DOUBLE, (shown % 100) / 100.0::DOUBLE) AS ml_score,
   (longer % 90) / 100.0::DOUBLE AS alpha_score, NULL::DOUBLE AS beta_score, NULL::DOUBLE AS gamma_score,
   (longer % 80) / 100.0::DOUBLE AS safe_score
