@@ -61,9 +61,101 @@ def _translate_class(token: str) -> str:
     return head + "".join(_INSIDE_CLASS.get(t, t) for t in _CLASS_TOKEN.findall(body)) + "]"
 
 
+# --- repetition the engine cannot afford ------------------------------------------
+
+# Java's engine recurses once per iteration of a repeated group whose body is not of
+# fixed length: on a long text such a rule exhausts the thread's stack. Repeated groups
+# of single-character alternatives mean a character class, which it loops over instead.
+# Other repetitions above this bound are refused with a reason at load.
+REPEAT_BOUND = 64
+_SPECIAL = set("\\()|[]*+?{}.^$")
+_BACKREF = re.compile(r"\\[1-9]|\\k|\(\?P=")
+_REPEAT = re.compile(r"\{(\d+)(?:,(\d*))?\}")
+
+
+def _closing(tokens: list[str], start: int) -> int:
+    depth = 0
+    for i in range(start, len(tokens)):
+        depth += tokens[i] == "("
+        depth -= tokens[i] == ")"
+        if depth == 0:
+            return i
+    return len(tokens) - 1
+
+
+def _class_part(token: str) -> str | None:
+    """What one single-character alternative adds inside a class, else None."""
+    if len(token) > 1 and token[0] == "[":
+        return None if token.startswith("[^") else token[1:-1]
+    if len(token) == 2 and token[0] == "\\":
+        return None if token[1] in "bBAZzGk0123456789" else token
+    if len(token) == 1 and token not in _SPECIAL:
+        return "\\" + token if token in "-^&" else token
+    return None
+
+
+def _many(tokens: list[str], at: int) -> bool:
+    """Whether the quantifier at ``at`` allows more than REPEAT_BOUND iterations."""
+    if at >= len(tokens):
+        return False
+    if tokens[at] in ("*", "+"):
+        return True
+    if tokens[at] == "{":
+        found = _REPEAT.match("".join(tokens[at : at + 12]))
+        return bool(found) and (found.group(2) == "" or int(found.group(2) or found.group(1)) > REPEAT_BOUND)
+    return False
+
+
+def unrolled(rule: str) -> str:
+    """The rule with repeated groups of single-character alternatives as classes.
+
+    ``(?:a|b|[0-9])*`` and ``(a|\\d)+`` match what ``[ab0-9]*`` and ``[a\\d]+`` match; a
+    capturing group is only unrolled when no back-reference counts groups.
+    """
+    tokens = _TOKEN.findall(rule)
+    capturing_ok = not _BACKREF.search(rule)
+    out, i = [], 0
+    while i < len(tokens):
+        if tokens[i] == "(":
+            end = _closing(tokens, i)
+            body = tokens[i + 1 : end]
+            plain = body[:2] == ["?", ":"]
+            if plain:
+                body = body[2:]
+            elif body[:1] == ["?"] or not capturing_ok:
+                body = None
+            if body and end + 1 < len(tokens) and tokens[end + 1] in ("*", "+", "{", "?"):
+                alternatives = [body[j] for j in range(0, len(body), 2)]
+                bars = [body[j] for j in range(1, len(body), 2)]
+                parts = [_class_part(t) for t in alternatives]
+                if len(body) % 2 == 1 and all(b == "|" for b in bars) and None not in parts:
+                    out.append("[" + "".join(parts) + "]")
+                    i = end + 1
+                    continue
+        out.append(tokens[i])
+        i += 1
+    return "".join(out)
+
+
+def repetition_risk(rule: str) -> str | None:
+    """Why the rule could exhaust the engine's stack on a long text, else None."""
+    tokens = _TOKEN.findall(unrolled(rule))
+    for i, token in enumerate(tokens):
+        if token != "(":
+            continue
+        end = _closing(tokens, i)
+        if not _many(tokens, end + 1):
+            continue
+        body = tokens[i + 1 : end]
+        body = body[2:] if body[:1] == ["?"] else body
+        if any(t in ("|", "*", "+", "?", "{", "(") for t in body):
+            return f"a repeated group of varying length ({''.join(tokens[i : end + 2])}) recurses once per repeat"
+    return None
+
+
 def jvm_body(rule: str) -> str:
     """The rule in Java syntax, without flags."""
-    tokens = _TOKEN.findall(rule)
+    tokens = _TOKEN.findall(unrolled(rule))
     out = []
     for i, token in enumerate(tokens):
         if token == r"\b":

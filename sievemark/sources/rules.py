@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.functions.regex import jvm_pattern, word_list_rule
+from sievemark.functions.regex import jvm_pattern, repetition_risk, word_list_rule
 from sievemark.functions.text import strip
 from sievemark.packs.defaults import three_category_pack
 from sievemark.packs.model import MAX_RULES, RULES_SCHEMA, RulePack
@@ -85,6 +85,10 @@ def check_rules(spark: SparkSession, rules: Sequence[str]) -> Mapping[int, str]:
             re.compile(rule)
         except re.error as error:
             reasons[i] = f"invalid regex: {error}"
+            continue
+        risk = repetition_risk(rule)
+        if risk:
+            reasons[i] = f"may exhaust the matching engine's stack: {risk}"
     valid = [i for i in range(len(rules)) if i not in reasons]
     for position in _jvm_rejects(spark, [rules[i] for i in valid]):
         reasons[valid[position]] = "not supported by the matching engine"
