@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievemark.operators import report, review
@@ -729,6 +729,39 @@ def summary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select(*counters)
 
 
+@query
+def cleaned_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line files of 500 documents each, screened into one cleaned file per input, read back.
+
+    ``in_order``: each line follows the one before it in its output; ``home``: the output
+    is the one the manifest names for the document's input file.
+    """
+    path, output = scratch_path(spark, "per-file-input"), scratch_path(spark, "per-file")
+    documents = _documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    block = F.floor(F.col("doc_id") / 500).alias("block")
+    documents.select("*", block).repartition("block").sortWithinPartitions("block", "doc_id").write.partitionBy(
+        "block"
+    ).json(path)
+    lines = read_lines(spark, path, {"doc_id": "long", "lang": "string", "source": "string"}).documents
+    run(lines, NEUTRAL, output, stem=None, per_file=True)
+    manifest = spark.read.schema("dataset_id string, output string, lines long").json(
+        f"{output}/reports/{sinks.MANIFEST_NAME}"
+    )
+    names = [r.output for r in manifest.select("output").collect()]  # one per input file
+    back = read_lines(spark, [f"{output}/{name}" for name in names], {"doc_id": "long"}).documents
+    back = back.withColumn("__output", F.split("dataset_id", "/")[0])
+    before = F.lag("doc_id").over(Window.partitionBy("__output").orderBy("dataset_id", "line_no"))
+    homes = lines.select("doc_id", F.col("dataset_id").alias("__input")).join(
+        manifest.select(F.col("dataset_id").alias("__input"), F.col("output").alias("__home")), "__input"
+    )
+    return back.join(homes, "doc_id").select(
+        "doc_id",
+        "text",
+        F.coalesce(before < F.col("doc_id"), F.lit(True)).alias("in_order"),
+        (F.col("__output") == F.col("__home")).alias("home"),
+    )
+
+
 @query
 def custom_cleaned_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     output = _finished_run(spark, sf_dir, "custom")

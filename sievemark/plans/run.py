@@ -46,6 +46,7 @@ def run(
     keys: Sequence[str] = KEYS,
     text: str = "text",
     rejected: DataFrame | None = None,
+    per_file: bool = False,
 ) -> DataFrame:
     """Screen ``documents`` with ``keys`` and ``text`` into ``output``.
 
@@ -57,7 +58,9 @@ def run(
     reports, and returns the one-row summary. Everything after the scored table
     reads only the part and the columns it needs. Files follow the input within
     each task; with ``ordered`` the outputs are sorted by key as a whole, which
-    shuffles them.
+    shuffles them. With ``per_file`` every input dataset gets its own cleaned corpus,
+    ``{stem}_cleaned.jsonl``, in the order of its lines, and ``reports/cleaned_files.jsonl``
+    lists them.
     """
     started = time.monotonic()
     output = output.rstrip("/")
@@ -67,7 +70,13 @@ def run(
     def arranged(df: DataFrame) -> DataFrame:
         return df.orderBy(*keys) if ordered else df
 
-    cleaned = sinks.cleaned_path(output, stem) if config.write_cleaned else None
+    cleaned = sinks.cleaned_path(output, stem) if config.write_cleaned and not per_file else None
+    if config.write_cleaned and per_file:
+        datasets = [r[0] for r in scored.select("dataset_id").distinct().collect()]  # one per input file
+        manifest = sinks.write_cleaned_per_file(
+            scored.where(F.col("keep")), datasets, output, f"{output}/staging", keys[1:], text_only, text
+        )
+        sinks.write_jsonl(manifest.coalesce(1), f"{output}/reports/{sinks.MANIFEST_NAME}")
     if cleaned:
         sinks.write_cleaned(arranged(scored.where(F.col("keep"))), cleaned, text_only, text)
     # Reports name the line before the dataset.
