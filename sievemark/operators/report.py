@@ -148,6 +148,27 @@ def run_summary(
     )
 
 
+def observed_summary(
+    spark, observed: dict, pack: RulePack, elapsed_seconds: float, cleaned_output: str | None, rejected: int | None = None
+) -> DataFrame:
+    """The one-row summary of ``run_summary`` from counters observed while writing.
+
+    ``observed`` holds the metrics of an ``Observation`` of ``issue_counters`` and
+    ``total_processed`` on the scored write: nothing is read again.
+    """
+    names = [TOTAL_FLAGGED, TOTAL_EXPLICIT, *[TOTAL_CATEGORY.format(c.name) for c in pack.categories], "total_processed"]
+    processed = int(observed.get("total_processed", 0) or 0)
+    rate = round(processed / elapsed_seconds, 1) if elapsed_seconds > 0 else 0.0
+    fields = [f"{name} long" for name in names]
+    fields += ["elapsed_seconds double", "throughput_records_per_sec double", "device string", "cleaned_output string"]
+    values = [int(observed.get(name, 0) or 0) for name in names]
+    values += [round(elapsed_seconds, 2), rate, spark.sparkContext.master, cleaned_output]
+    if rejected is not None:
+        fields.append("total_rejected long")
+        values.append(int(rejected))
+    return spark.createDataFrame([tuple(values)], ", ".join(fields))
+
+
 def issue_preview(
     scored: DataFrame, pack: RulePack, keys: Sequence[str] = KEYS, text: str = "text"
 ) -> DataFrame:

@@ -432,6 +432,7 @@ FROM lines""",
         "flagged_json_file": keyed + f"SELECT line_no, dataset_id, {DETAIL} FROM scored WHERE NOT keep",
         "flagged_csv_file": keyed + f"SELECT line_no, dataset_id, {TABLE} FROM scored WHERE NOT keep",
         "summary_file": plain + f"SELECT {COUNTERS}, count(*) AS total_processed FROM scored",
+        "observed_accounting": plain + f"SELECT {COUNTERS}, count(*) AS total_processed FROM scored",
         "cleaned_per_file": plain + "SELECT doc_id, text, true AS in_order, true AS home FROM scored WHERE keep",
         "custom_cleaned_file": reviewed + "SELECT text" + not_removed,
         "stream_screening": plain + f"SELECT doc_id, {DECISION} FROM scored",

@@ -762,6 +762,15 @@ def cleaned_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def observed_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose summary counters were observed while its scored table was written."""
+    output = scratch_path(spark, "observed")
+    run(_keyed(spark, sf_dir), NEUTRAL, output, stem="documents", text_only=True, observed=True)
+    summary = spark.read.json(f"{output}/reports/{SUMMARY_NAME}")
+    return summary.select(*[c for c in summary.columns if c.startswith("total_")])
+
+
 @query
 def custom_cleaned_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     output = _finished_run(spark, sf_dir, "custom")

@@ -5,11 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sievemark.operators.report import flagged_detail, flagged_table, run_summary
+from sievemark.operators.report import flagged_detail, flagged_table, issue_counters, observed_summary, run_summary
 from sievemark.operators.review import reapply_scored
 from sievemark.operators.screen import ScreenConfig, screen
 from sievemark.operators.review import KEYS
@@ -47,6 +47,7 @@ def run(
     text: str = "text",
     rejected: DataFrame | None = None,
     per_file: bool = False,
+    observed: bool = False,
 ) -> DataFrame:
     """Screen ``documents`` with ``keys`` and ``text`` into ``output``.
 
@@ -60,11 +61,18 @@ def run(
     each task; with ``ordered`` the outputs are sorted by key as a whole, which
     shuffles them. With ``per_file`` every input dataset gets its own cleaned corpus,
     ``{stem}_cleaned.jsonl``, in the order of its lines, and ``reports/cleaned_files.jsonl``
-    lists them.
+    lists them. With ``observed`` the summary's counters are taken while the scored
+    table and the rejected lines are written, by Spark observations, instead of by
+    reading them again.
     """
     started = time.monotonic()
     output = output.rstrip("/")
-    scored = write_scored(screen(documents, pack, config, text=text), f"{output}/scored")
+    screened = screen(documents, pack, config, text=text)
+    watched = Observation("scored") if observed else None
+    if watched is not None:
+        counted = [*issue_counters(screened, pack), F.count(F.lit(1)).alias("total_processed")]
+        screened = screened.observe(watched, *counted)
+    scored = write_scored(screened, f"{output}/scored")
     stem = stem or _stem_of(scored)
 
     def arranged(df: DataFrame) -> DataFrame:
@@ -85,11 +93,18 @@ def run(
     sinks.write_csv(arranged(flagged_table(scored, pack, shown, text)), f"{output}/reports/{TABLE_NAME}")
     total_rejected = None
     if rejected is not None:
-        sinks.write_jsonl(rejected, f"{output}/reports/{REJECTED_NAME}")
-        total_rejected = scored.sparkSession.read.schema(rejected.schema).json(f"{output}/reports/{REJECTED_NAME}").count()
+        lost = Observation("rejected") if observed else None
+        sinks.write_jsonl(rejected.observe(lost, F.count(F.lit(1)).alias("n")) if lost else rejected, f"{output}/reports/{REJECTED_NAME}")
+        if lost is not None:
+            total_rejected = int(lost.get.get("n", 0) or 0)
+        else:
+            total_rejected = scored.sparkSession.read.schema(rejected.schema).json(f"{output}/reports/{REJECTED_NAME}").count()
     summary_path = f"{output}/reports/{SUMMARY_NAME}"
-    summary = run_summary(scored, pack, time.monotonic() - started, cleaned)
-    if total_rejected is not None:
+    if watched is not None:
+        summary = observed_summary(scored.sparkSession, watched.get, pack, time.monotonic() - started, cleaned, total_rejected)
+    else:
+        summary = run_summary(scored, pack, time.monotonic() - started, cleaned)
+    if total_rejected is not None and watched is None:
         summary = summary.withColumn("total_rejected", F.lit(total_rejected).cast("long"))
     sinks.write_summary(summary, summary_path)
     return scored.sparkSession.read.schema(summary.schema).json(summary_path)
