@@ -19,6 +19,9 @@ from sievemark.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
 
 @step
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +33,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @step
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    return forest.keep_one(docs)
+    """One document of each group of near copies (5-word shingles, 0.8): the one with the smallest id."""
+    return forest.keep_one(docs, percent=NEAR_PERCENT, width=NEAR_WIDTH)
 
 
 @step
