@@ -75,9 +75,9 @@ def shingles(text, width=3):
     return frozenset(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
 
 
-def components(rows, percent=85):
+def components(rows, percent=85, width=3):
     """doc_id -> (set size, component) over all linked pairs."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, width) for i, t in rows}
     root = {i: i for i in sets}
 
     def top(i):

@@ -62,7 +62,8 @@ def test_pipeline_stages_take_effect(spark, docs):
             stage_docs = spark.createDataFrame(done[name], out.schema)
     lettered = {i for i, d in docs.items() if any(c.isalpha() for c in d.text or "")}
     assert {r.doc_id for r in done["language"]} == lettered
-    groups = brute.components([(i, docs[i].text) for i in lettered])
+    groups = brute.components([(i, docs[i].text) for i in lettered], corpus_pipeline.NEAR_PERCENT, corpus_pipeline.NEAR_WIDTH)
+    assert (corpus_pipeline.NEAR_WIDTH, corpus_pipeline.NEAR_PERCENT) == (5, 80)
     assert {r.doc_id for r in done["near_duplicates"]} == {i for i, (_, c) in groups.items() if c == i}
     for r in done["personal_data"]:
         assert not brute.pii(r.text) and r.n_chars == len(r.text)
