@@ -383,6 +383,7 @@ FROM scored s JOIN labels l ON s.doc_id = l.doc_id GROUP BY 1, 2, 3""",
   FROM scored s JOIN labels l ON s.doc_id = l.doc_id)
 SELECT CAST(count_if(passed) AS BIGINT) AS passed, CAST(count_if(NOT passed) AS BIGINT) AS failed FROM judged""",
         "jsonl_round_trip": "SELECT doc_id, lang, text FROM documents",
+        "stable_dataset_ids": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'b' END AS folder, true AS stable FROM documents",
         "any_shard_names": """
 SELECT doc_id, text, CASE WHEN doc_id % 2 = 0 THEN 'compressed' ELSE 'plain' END AS part FROM documents""",
         "rule_files_combined": """

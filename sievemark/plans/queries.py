@@ -551,6 +551,27 @@ def any_shard_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", part.alias("part"))
 
 
+@query
+def stable_dataset_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders below one root, read alone and together: every line keeps its dataset id."""
+    root = scratch_path(spark, "root")
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
+    folders = {"a": F.col("doc_id") % 2 == 0, "b": F.col("doc_id") % 2 == 1}
+    for name, rows in folders.items():
+        sinks.write_jsonl(documents.where(rows), f"{root}/{name}")
+
+    def ids(paths: list[str]) -> DataFrame:
+        return read_lines(spark, paths, {"doc_id": "long"}, root=root).documents.select("doc_id", "dataset_id")
+
+    alone = ids([f"{root}/a"]).unionByName(ids([f"{root}/b"])).withColumnRenamed("dataset_id", "__alone")
+    together = ids([f"{root}/a", f"{root}/b"])
+    return together.join(alone, "doc_id").select(
+        "doc_id",
+        F.split("dataset_id", "/")[0].alias("folder"),
+        (F.col("dataset_id") == F.col("__alone")).alias("stable"),
+    )
+
+
 @query
 def rule_files_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rule files per language made of the sources of its documents, as one pack."""
@@ -748,7 +769,7 @@ def cleaned_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{output}/reports/{sinks.MANIFEST_NAME}"
     )
     names = [r.output for r in manifest.select("output").collect()]  # one per input file
-    back = read_lines(spark, [f"{output}/{name}" for name in names], {"doc_id": "long"}).documents
+    back = read_lines(spark, [f"{output}/{name}" for name in names], {"doc_id": "long"}, root=output).documents
     back = back.withColumn("__output", F.split("dataset_id", "/")[0])
     before = F.lag("doc_id").over(Window.partitionBy("__output").orderBy("dataset_id", "line_no"))
     homes = lines.select("doc_id", F.col("dataset_id").alias("__input")).join(

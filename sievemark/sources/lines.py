@@ -88,8 +88,20 @@ def name_filter(endings: Sequence[str]) -> str:
     return "*.{" + ",".join(either) + "}"
 
 
-def _dataset_id(files: Sequence[str]) -> Column:
-    """The file name; of several files the path below the folder they share."""
+def _below(root: str) -> Column:
+    """The file's path below ``root``, whatever scheme either is spelled with."""
+    folder = re.sub(_SCHEME, "", root).rstrip("/") + "/"
+    path = F.regexp_replace("_metadata.file_path", _SCHEME, "")
+    # Schemes leave one or more slashes: compare without the leading ones.
+    bare, start = F.regexp_replace(path, "^/+", ""), folder.lstrip("/")
+    return F.when(bare.startswith(start), F.substring(bare, len(start) + 1, 1 << 30))
+
+
+def _dataset_id(files: Sequence[str], root: str | None = None) -> Column:
+    """The file name; of several files the path below the folder they share; with
+    ``root``, always the path below it."""
+    if root is not None:
+        return _below(root)
     if len(files) == 1:
         return F.col("_metadata.file_name")
     # The same file is spelled file:/x and file:///x in different places.
@@ -106,6 +118,7 @@ def read_lines(
     number: bool = True,
     glob: str | None = None,
     endings: Sequence[str] | None = None,
+    root: str | None = None,
 ) -> LineDocuments:
     """Read line files as ``documents(dataset_id, line_no, text, …fields)``.
 
@@ -115,6 +128,10 @@ def read_lines(
     several files the path below the folder they share, so that keys are unique.
     ``line_no`` is the 1-based physical line in its file. ``number=False`` leaves
     it out and saves the extra pass where documents carry their own id.
+
+    Ids of that kind move when another folder is read along. With ``root`` (a folder
+    above all paths) a file's id is its path below ``root`` in every read, batch or
+    stream, so ids stay as a corpus grows; a file outside ``root`` is an error.
     """
     reader = spark.read
     if glob or endings:
@@ -123,7 +140,11 @@ def read_lines(
     files = scan.inputFiles()
     if not files:
         raise FileNotFoundError(f"no file to read in {paths}")
-    lines = located(scan.select("value", _dataset_id(files).alias("dataset_id"), "_metadata"))
+    if root is not None:
+        outside = [f for f in files if not re.sub(_SCHEME, "", f).lstrip("/").startswith(re.sub(_SCHEME, "", root).strip("/") + "/")]
+        if outside:
+            raise ValueError(f"{outside[0]} lies outside {root}")
+    lines = located(scan.select("value", _dataset_id(files, root).alias("dataset_id"), "_metadata"))
     lines = lines.drop("_metadata")
     lines = numbered(lines) if number else lines.drop("__file", "__block")
     records = _parsed(spark, lines, fields)
@@ -143,14 +164,20 @@ def stream_lines(
     glob: str | None = None,
     endings: Sequence[str] | None = None,
     max_files_per_trigger: int | None = None,
+    root: str | None = None,
 ) -> LineDocuments:
-    """The same records from arriving files, without line numbers."""
+    """The same records from arriving files, without line numbers.
+
+    Without ``root`` a file's id is its name; with it, its path below ``root``, as in
+    ``read_lines``, so that equally named files of two folders keep apart.
+    """
     reader = spark.readStream
     if glob or endings:
         reader = reader.option("pathGlobFilter", glob or name_filter(endings))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.text(path).select("value", F.col("_metadata.file_name").alias("dataset_id"))
+    name = _below(root) if root is not None else F.col("_metadata.file_name")
+    lines = reader.text(path).select("value", name.alias("dataset_id"))
     records = _parsed(spark, lines, fields)
     return LineDocuments(
         documents=records.where(F.col(_REASON).isNull()).select("dataset_id", "text", *(fields or {})),
