@@ -20,7 +20,9 @@ UPLOAD_ENDINGS = ("jsonl", "json", "txt")
 
 _REASON = "__reason"
 # Python writes and reads these as numbers; strict JSON has null at most. Only outside of strings.
-_NOT_A_NUMBER = r"""(?<![A-Za-z0-9_])(?:NaN|-?Infinity)(?![A-Za-z0-9_])(?=(?:[^"\\]|"(?:[^"\\]|\\.)*+")*+$)"""
+_NOT_A_NUMBER = r"(?<![A-Za-z0-9_])(?:NaN|-?Infinity)(?![A-Za-z0-9_])"
+# A line as strings (an unclosed one runs to the end) and what lies between them, in order.
+_SEGMENT = r""""(?:[^"\\]|\\.)*+"?|[^"]+"""
 _SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:/+"
 
 
@@ -40,7 +42,12 @@ def _with_json(lines: DataFrame) -> DataFrame:
     array could slip through; such lines are checked a second time as a member
     of an object. The parsed array is a column of its own, to be built once.
     """
-    line = F.when(F.col("__line").rlike("NaN|Infinity"), F.regexp_replace("__line", _NOT_A_NUMBER, "null"))
+    # One pass over the line: only segments outside strings are rewritten.
+    segments = F.regexp_extract_all("__line", F.lit(_SEGMENT), F.lit(0))
+    rewritten = F.transform(
+        segments, lambda part: F.when(part.startswith('"'), part).otherwise(F.regexp_replace(part, _NOT_A_NUMBER, "null"))
+    )
+    line = F.when(F.col("__line").rlike("NaN|Infinity"), F.array_join(rewritten, ""))
     lines = lines.withColumn("__strict", F.coalesce(line, F.col("__line")))
     line = F.col("__strict")
     in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
