@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.plans import settled
 from sievemark.functions.regex import any_rule, independent_words
-from sievemark.functions.text import empty_strings
+from sievemark.functions.text import digits_as_letters, empty_strings, original_wording
 from sievemark.operators import verify
 from sievemark.operators.evidence import entity_hits, language, with_evidence
 from sievemark.operators.proximity import boosted, targeted, whole_words
@@ -30,6 +30,8 @@ class ScreenConfig:
     context_window: int = 80
     target_window: int = 40
     boost_evidence: int = 3
+    #: Read 0, 1, 3 and 4 inside lettered words as o, i, e and a before matching.
+    digit_spellings: bool = False
 
     def __post_init__(self) -> None:
         if self.keyword_threshold < 1:
@@ -195,7 +197,9 @@ def screen(
         entities += [e for c in pack.categories for e in c.entities]
     rules = [rule for patterns in lists.values() for rule in patterns]
     words = [w for c in pack.categories if entities for w in independent_words(c.entities) or ()]
-    df = documents.withColumn(_name("text"), F.coalesce(F.col(text), F.lit("")))
+    source = F.coalesce(F.col(text), F.lit(""))
+    # Digit spellings: rules read a shadow text of equal length, so places and windows stay.
+    df = documents.withColumn(_name("text"), digits_as_letters(source) if config.digit_spellings else source)
     df = df.withColumn(_name("hit"), any_rule(_col("text"), rules + whole_words(entities)))
     df = with_evidence(
         df, lists, _col("text"), guard=_col("hit"), words=words, words_column=_name("words") if words else None
@@ -208,6 +212,8 @@ def screen(
         df = _category_stages(df, pack, config, category_scores)
         results["sensitive"] = _category_result(pack, category_scores)
     df = df.withColumns({_name(name): column for name, column in results.items()})
+    if config.digit_spellings:
+        df = _written_as_found(df, pack, source, list(results))
     if "explicit" in results:
         flagged = flagged | _col("explicit")["is_explicit"]
     if "sensitive" in results:
@@ -216,6 +222,23 @@ def screen(
     return settled(df, [c for c in documents.columns if c not in decisions], decisions)
 
 
+def _written_as_found(df: DataFrame, pack: RulePack, source: Column, done: list[str]) -> DataFrame:
+    """Evidence in the wording of the text itself, not of its shadow."""
+
+    def back(found: Column) -> Column:
+        return F.transform(found, lambda w: original_wording(source, w))
+
+    if "explicit" in done:
+        explicit = _col("explicit")
+        df = df.withColumn(_name("explicit"), explicit.withField("matched_keywords", back(explicit["matched_keywords"])))
+    if "sensitive" in done:
+        sensitive = _col("sensitive")
+        for c in pack.categories:
+            sensitive = sensitive.withField(f"{c.name}_matches", back(_col("sensitive")[f"{c.name}_matches"]))
+        df = df.withColumn(_name("sensitive"), sensitive)
+    return df
+
+
 def screen_explicit(
     documents: DataFrame, pack: RulePack, config: ScreenConfig = ScreenConfig(), text: str = "text"
 ) -> DataFrame:

@@ -293,6 +293,8 @@ def oracle_sql() -> dict[str, str]:
     matches = ", ".join(f"{c}_matches" for c in CATEGORIES)
     flags = ", ".join(f"{c}_flagged" for c in CATEGORIES)
     return {
+        "digit_spellings": plain
+        + "SELECT doc_id, is_explicit, language, len(matched_list) AS hits, categories, keep, true AS wording_kept FROM scored",
         "explicit_flags": plain
         + "SELECT doc_id, is_explicit, language, len(matched_list) AS hits, matched FROM scored",
         "explicit_evidence": plain

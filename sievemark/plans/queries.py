@@ -93,6 +93,31 @@ def explicit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def digit_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other document written with digits for letters, screened reading them back.
+
+    Decisions equal those of the plain texts; evidence keeps the wording of the text.
+    """
+    documents = _documents(spark, sf_dir)
+    tokens = F.regexp_extract_all("text", F.lit(r"(?U)[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"), F.lit(0))
+    lettered = F.transform(
+        tokens, lambda t: F.when(t.rlike(r"(?U)\p{L}"), F.translate(t, "oieaOIEA", "01340134")).otherwise(t)
+    )
+    written = F.when(F.col("doc_id") % 2 == 0, F.array_join(lettered, "")).otherwise(F.col("text"))
+    scored = screen(documents.withColumn("text", written), NEUTRAL, ScreenConfig(digit_spellings=True))
+    found = F.concat("explicit.matched_keywords", *[f"sensitive.{c}_matches" for c in CATEGORIES])
+    return scored.select(
+        "doc_id",
+        "explicit.is_explicit",
+        "explicit.language",
+        _size("explicit.matched_keywords").alias("hits"),
+        _joined("sensitive.categories").alias("categories"),
+        "keep",
+        F.forall(found, lambda w: F.instr(F.coalesce("text", F.lit("")), w) > 0).alias("wording_kept"),
+    )
+
+
 @query
 def explicit_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = screen_explicit(_documents(spark, sf_dir), NEUTRAL)
