@@ -144,16 +144,27 @@ def score(
     category_chars: int | None = CATEGORY_CHARS,
     strict: bool = False,
     errors: str | None = "score_error",
+    batch_size: int | None = None,
+    by_length: bool = False,
+    batch_column: str | None = None,
 ) -> DataFrame:
     """Score with one or both models, loaded once per task, in one Python stage.
 
     A text that fails gives no score, and its error in the column ``errors`` (None: no
     such column); with ``strict`` the job fails instead. Models are shown the first
     ``explicit_chars`` and ``category_chars`` characters, None for the whole text.
+
+    ``batch_size`` texts go to a model at once, whatever size the Arrow batches have:
+    rows are gathered into a buffer of that many (the last call of a task takes what is
+    left), with ``by_length`` sorted by length inside it so that a call holds texts of
+    like length, and results come back in input order. ``batch_column`` receives the
+    number of texts of the call that scored each row.
     """
+    if batch_size is not None and batch_size < 1:
+        raise ValueError("batch_size must be at least 1")
     loaders = tuple(None if make is None else _careful(make, strict) for make in (explicit, categories))
 
-    @F.pandas_udf(f"explicit {EXPLICIT_TYPE}, categories {CATEGORY_TYPE}, error string")
+    @F.pandas_udf(f"explicit {EXPLICIT_TYPE}, categories {CATEGORY_TYPE}, error string, calls long")
     def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         first, second = (None if load is None else load() for load in loaders)
 
@@ -167,19 +178,45 @@ def score(
         def known(result):
             return {name: float(s) for name, s in (result or {}).items() if usable(s)}
 
-        for short, longer in batches:
-            nothing = [(None, None)] * len(short)
-            one = first(list(short)) if first else nothing
-            many = second(list(longer)) if second else nothing
+        def answer(short: list, longer: list) -> pd.DataFrame:
+            order = list(range(len(short)))
+            if by_length:
+                order.sort(key=lambda i: len(longer[i] or short[i] or ""))
+            step = batch_size or max(len(order), 1)
+            one, many, calls = [None] * len(order), [None] * len(order), [0] * len(order)
+            for start in range(0, len(order), step):
+                part = order[start : start + step]
+                nothing = [(None, None)] * len(part)
+                got_one = first([short[i] for i in part]) if first else nothing
+                got_many = second([longer[i] for i in part]) if second else nothing
+                for i, a, b in zip(part, got_one, got_many):
+                    one[i], many[i], calls[i] = a, b, len(part)
             chosen = [best(r) for r, _ in one]
-            yield pd.DataFrame(
+            return pd.DataFrame(
                 {
                     "explicit": pd.Series([c or {"label": None, "score": None} for c in chosen], dtype="object"),
                     "categories": pd.Series([known(r) for r, _ in many], dtype="object"),
                     "error": pd.Series([a or b for (_, a), (_, b) in zip(one, many)], dtype="object"),
+                    "calls": pd.Series(calls, dtype="int64"),
                 }
             )
 
+        if batch_size is None:
+            for short, longer in batches:
+                yield answer(list(short), list(longer))
+            return
+        # A buffer of batch_size rows across Arrow batches: no more is held at once.
+        held_short: list = []
+        held_long: list = []
+        for short, longer in batches:
+            held_short += list(short)
+            held_long += list(longer)
+            while len(held_short) >= batch_size:
+                yield answer(held_short[:batch_size], held_long[:batch_size])
+                held_short, held_long = held_short[batch_size:], held_long[batch_size:]
+        if held_short:
+            yield answer(held_short, held_long)
+
     def shown(chars: int | None) -> Column:
         return F.col(text) if chars is None else F.substring(text, 1, chars)
 
@@ -191,6 +228,8 @@ def score(
         out = out.withColumn(CATEGORY_SCORES, F.col("__scored.categories"))
     if errors:
         out = out.withColumn(errors, F.col("__scored.error"))
+    if batch_column:
+        out = out.withColumn(batch_column, F.col("__scored.calls"))
     return out.drop("__scored")
 
 

@@ -336,6 +336,8 @@ alpha_verified, verification_reason, keep FROM scored""",
         "model_scores": scored(_LENGTH_SCORES, scores=True)
         + """SELECT doc_id, is_explicit, ml_label, ml_score, alpha_score, safe_score, alpha_flagged, keep
 FROM scored""",
+        "scorer_batches": scored(_LENGTH_SCORES, scores=True)
+        + "SELECT doc_id, ml_label, ml_score, alpha_score, keep, true AS within_batch FROM scored",
         "score_ties": """
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'TOXIC' ELSE 'NEUTRAL' END AS table_label,
   CASE WHEN doc_id % 3 = 0 THEN 'TOXIC' ELSE 'NEUTRAL' END AS scorer_label, 0.5::DOUBLE AS score,

@@ -380,16 +380,40 @@ def score_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scorer called on Arrow batches inside the tasks."""
+def _length_explicit_scorer():
+    return lambda texts: [[("neutral", 0.5), ("toxic", len(t) % 100 / 100)] for t in texts]
+
+
+def _length_category_scorer():
+    return lambda texts: [{"alpha": len(t) % 90 / 100, "safe": len(t) % 80 / 100} for t in texts]
+
 
-    def explicit_scorer():
-        return lambda texts: [[("neutral", 0.5), ("toxic", len(t) % 100 / 100)] for t in texts]
+#: Texts a model sees at once in ``scorer_batches``.
+SCORER_BATCH = 7
 
-    def category_scorer():
-        return lambda texts: [{"alpha": len(t) % 90 / 100, "safe": len(t) % 80 / 100} for t in texts]
 
+@query
+def scorer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorers of ``model_scores`` called on batches of seven texts of like length."""
+    documents = score(
+        _documents(spark, sf_dir), _length_explicit_scorer, _length_category_scorer,
+        batch_size=SCORER_BATCH, by_length=True, batch_column="__calls",
+    )
+    scored = screen(documents, NEUTRAL, ML)
+    return scored.select(
+        "doc_id",
+        "explicit.ml_label",
+        "explicit.ml_score",
+        F.col("sensitive.ml_scores")["alpha"].alias("alpha_score"),
+        "keep",
+        F.col("__calls").between(1, SCORER_BATCH).alias("within_batch"),
+    )
+
+
+@query
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scorer called on Arrow batches inside the tasks."""
+    explicit_scorer, category_scorer = _length_explicit_scorer, _length_category_scorer
     documents = score(_documents(spark, sf_dir), explicit_scorer, category_scorer)
     scored = screen(documents, NEUTRAL, ML)
     return scored.select(
