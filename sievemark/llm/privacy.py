@@ -170,8 +170,7 @@ def disclosures(
     n_all = F.lit(documents.agg(F.count_distinct(key)).first()[0])
     different = documents.groupBy(key.alias("text_key")).agg(F.first(text).alias("__text"))
     words = different.select(F.explode(_terms(F.col("__text"))).alias("term"))
-    # Counted before they meet the candidates: one row per term and task, however common a term is.
-    frequency = words.groupBy("term").agg(F.count("*").alias("n_term")).join(candidates, "term", "left_semi")
+    frequency = counted_terms(words, candidates)
     entity_counts = near.groupBy("entity").agg(F.count_distinct("text_key").alias("n_entity"))
     p_entity = F.col("n_entity") / n_all
     joint = F.col("n_both") * n_all / (F.col("n_entity") * F.greatest("n_term", "n_both"))
@@ -184,6 +183,18 @@ def disclosures(
     )
 
 
+def counted_terms(words: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``n_term`` of the candidate terms among ``words`` (one row per occurrence).
+
+    Counted and written before they meet the candidates: a join on the grouping key
+    would otherwise be pushed below the count, and meet every occurrence of a term.
+    """
+    spark = words.sparkSession
+    counted = scratch_path(spark, "term-counts")
+    words.groupBy("term").agg(F.count("*").alias("n_term")).write.parquet(counted)
+    return spark.read.parquet(counted).join(candidates, "term", "left_semi")
+
+
 def _any_of(terms: Column) -> Column:
     """A pattern for whole terms, longest first where one begins another."""
     quoted = F.transform(

@@ -324,3 +324,18 @@ def test_own_columns_replace_those_of_the_same_name(spark):
     judged = quality.judge(df, spark.createDataFrame([(1, 0)], "doc_id long, quality int"))
     assert len({c.lower() for c in judged.columns}) == len(judged.columns)
     assert all(r["n_words"] == 4 and r["rule"] is None and r["kept"] == "own" for r in judged.collect())
+
+
+def test_terms_are_counted_before_they_meet_candidates(spark):
+    """No explode of words lies below the join with the candidates."""
+    from pyspark.sql import functions as F
+
+    from sievemark.llm import privacy
+
+    texts = spark.createDataFrame([("kites and boats and kites",), ("boats",)], "text string")
+    words = texts.select(F.explode(F.split("text", " ")).alias("term"))
+    candidates = spark.createDataFrame([("kites",), ("boats",)], "term string")
+    counted = privacy.counted_terms(words, candidates)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Scan parquet" in plan
+    assert sorted(tuple(r) for r in counted.collect()) == [("boats", 2), ("kites", 2)]
