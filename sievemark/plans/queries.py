@@ -642,14 +642,14 @@ def rule_files_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole run over two equally named files: every line is kept, flagged or rejected."""
+    """A whole run over two folders of files: every line is kept, flagged or rejected."""
     path, output = scratch_path(spark, "twins"), scratch_path(spark, "accounted")
     documents = _documents(spark, sf_dir).select("doc_id", "text")
     text = F.to_json(F.struct("text"))
     line = F.when(F.col("doc_id") % 7 == 0, F.lit('{"text": null}')).otherwise(text)
     for part in ("a", "b"):
         own = documents.where(F.col("doc_id") % 2 == (0 if part == "a" else 1))
-        own.select(line.alias("value")).coalesce(1).write.text(f"{path}/{part}")
+        own.select(line.alias("value")).write.text(f"{path}/{part}")
     lines = read_lines(spark, [f"{path}/a", f"{path}/b"])
     run(lines.documents, NEUTRAL, output, stem=None, rejected=lines.rejected)
     summary = spark.read.json(f"{output}/reports/{SUMMARY_NAME}")
