@@ -11,11 +11,12 @@ Candidates are confirmed on the full shingle sets. Confirmed links merge compone
 and the next round pairs every document with its nearest neighbours *outside its own
 component*, best candidates first, until no candidate is left untried: a large group
 of near copies costs a few links per member, and members still find partners beyond
-the copies around them. What is then left is finished region by region: wherever rows
-that share ``MIN_DEPTH`` values still lie in several components, all their pairs across
-components are confirmed, in blocks of ``BLOCK`` rows. So every link whose ends share a
-prefix in any tree is found. With 24 trees a link at 0.85 fails to share a prefix in
-all of them with probability 2e-8.
+the copies around them. What is then left is finished exactly: the rows of all regions
+that still hold several components meet across components on their rarest shingles,
+which two sets of the wanted similarity must share, and pairs for which the rest of
+both sets cannot suffice are left out. So every link whose ends share a prefix in any
+tree is found. With 24 trees a link at 0.85 fails to share a prefix in all of them with
+probability 2e-8.
 
 Defined cases: no words or a null text means an empty set, linked with nothing; texts
 shorter than three words are one shingle; repeated rows and repeated ids fall into one
@@ -44,7 +45,7 @@ TREE_DEPTH = 10
 HASHES = TREES * MIN_DEPTH
 _SET_BYTES = 5  # shingle hashes are kept to 40 bits in stored sets
 BROADCAST_IDS = 2_000_000
-BLOCK = 256  # rows of a region that meet in one piece of work
+BLOCK = 256  # sets that are listed shingle by shingle at a time
 
 _generator = np.random.default_rng(8512)
 _SCALE = _generator.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -228,29 +229,63 @@ def _candidates(regions: DataFrame, comps: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("depth").alias("depth"))
 
 
-def _crowded(regions: DataFrame, comps: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows of regions that still hold several components, with their block and the number of blocks."""
-    rows = regions.select("tree", F.substring("key", 1, 3 * MIN_DEPTH).alias("prefix"), "rep").distinct()
-    placed = rows.join(comps, "rep").join(sizes, "rep")
-    counted = placed.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    several = counted.where(F.col("low") < F.col("high")).select("tree", "prefix", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    return placed.join(several, ["tree", "prefix"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-
-
-def _across(crowded: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Distinct pairs across components within a region whose sizes allow a link; without ``whole`` within a block only."""
-    own = F.array("block")
-    above = F.sequence(F.col("block"), F.col("blocks") - 1) if whole else own
-    below = F.sequence(F.lit(0).cast("long"), F.col("block")) if whole else own
-    unit = ["tree", "prefix", "low", "high"]
-    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("rep", "comp", "n_shingles")]
-    left = crowded.select("tree", "prefix", F.col("block").alias("low"), F.explode(above).alias("high"), *side("x"))
-    right = crowded.select("tree", "prefix", F.explode(below).alias("low"), F.col("block").alias("high"), *side("y"))
-    x, y = F.col("n_shingles_x"), F.col("n_shingles_y")
-    met = left.join(right, unit).where(
+def _crowded(regions: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rep`` and ``comp`` of the rows of regions that still hold several components."""
+    rows = regions.select("tree", F.substring("key", 1, 3 * MIN_DEPTH).alias("prefix"), "rep").distinct().join(comps, "rep")
+    counted = rows.groupBy("tree", "prefix").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    several = counted.where(F.col("low") < F.col("high")).select("tree", "prefix")
+    return rows.join(several, ["tree", "prefix"], "left_semi").select("rep", "comp").distinct()
+
+
+def _rarest(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles of every crowded set: ``rep, comp, n, token, place`` (from 1, rarest first).
+
+    Two sets that reach ``percent`` have a shingle in common among the first
+    ``n - percent * n + 1`` of each, in any order that holds for all of them. Shingles
+    of one crowded set only come first and meet nothing, so they are counted, not listed.
+    """
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                own = [_unpack(p).astype(np.int64) for p in part.column("packed").to_pylist()]
+                sizes = [len(o) for o in own]
+                same = [np.repeat(part.column(c).to_numpy(), sizes) for c in ("rep", "comp", "key")]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, same), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(own))], names=[*whose, "token"]
+                )
+
+    whose = ["rep", "comp", "key", "n"]
+    # Repeated rows have one set, and rows that repeat an id may have several.
+    distinct = sets.join(crowded, "rep").withColumn("key", F.xxhash64("packed")).dropDuplicates(["rep", "key"])
+    tokens = distinct.mapInArrow(opened, "rep long, comp long, key long, n long, token long")
+    common = tokens.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") > 1)
+    listed = tokens.join(common, "token").groupBy(*whose).agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("s"))
+    alone = F.col("n") - F.size("s")
+    reach = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    head = F.slice("s", F.lit(1), F.greatest(reach - alone, F.lit(0)).cast("int"))
+    placed = listed.select("rep", "comp", "n", alone.alias("alone"), F.posexplode(head).alias("at", "t"))
+    return placed.select("rep", "comp", "n", F.col("t.token").alias("token"), (F.col("alone") + F.col("at") + 1).alias("place"))
+
+
+def _across(rarest: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs across components that share one of their rarest shingles and may reach ``percent``.
+
+    What is left of both sets from the shared shingle on must suffice. Of the component
+    that has most rows of a shingle, rows meet only those of others, not each other.
+    """
+    per_comp = rarest.groupBy("token", "comp").agg(F.count("*").alias("rows"))
+    main = per_comp.groupBy("token").agg(F.max(F.struct("rows", "comp"))["comp"].alias("main"), F.count("*").alias("k"))
+    open_ = rarest.join(main.where(F.col("k") > 1).drop("k"), "token")
+    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("rep", "comp", "n", "place")]
+    left = open_.where(F.col("comp") != F.col("main")).select("token", "main", *side("x"))
+    right = open_.select("token", *side("y"))
+    rest = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y")) + 1
+    met = left.join(right, "token").where(
         (F.col("comp_x") != F.col("comp_y"))
-        & ((F.col("low") < F.col("high")) | (F.col("rep_x") < F.col("rep_y")))
-        & (100 * F.least(x, y) >= percent * F.greatest(x, y))
+        & ((F.col("comp_y") == F.col("main")) | (F.col("rep_x") < F.col("rep_y")))
+        & ((100 + percent) * rest >= percent * (F.col("n_x") + F.col("n_y")))
     )
     return met.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
 
@@ -376,22 +411,14 @@ def _link_all(
             break
         tried = chosen.select("a", "b") if tried is None else tried.union(chosen.select("a", "b"))
         comps = _linked(comps, chosen, sets, percent)
-    # Then all that share a region: within blocks first, which joins most of what is alike.
-    sizes = representatives.select("rep", "n_shingles")
-    for whole in (False, True):
-        crowded = _written(_crowded(regions, comps, sizes), "crowded")
-        blocks = crowded.agg(F.max("blocks")).first()[0]
-        if blocks is None:
-            return comps
-        whole = whole or blocks == 1
-        open_pairs = _across(crowded, percent, whole)
-        if tried is not None:
-            open_pairs = open_pairs.join(tried, ["a", "b"], "left_anti")
-        chosen = _written(open_pairs, "chosen")
-        tried = chosen.select("a", "b") if tried is None else tried.union(chosen.select("a", "b"))
-        comps = _linked(comps, chosen, sets, percent)
-        if whole:
-            return comps
+    # Then all pairs across components that could be links, among the rows of regions that hold several.
+    crowded = _written(_crowded(regions, comps), "crowded")
+    if crowded.isEmpty():
+        return comps
+    open_pairs = _across(_written(_rarest(crowded, sets, percent), "rarest"), percent)
+    if tried is not None:
+        open_pairs = open_pairs.join(tried, ["a", "b"], "left_anti")
+    return _linked(comps, _written(open_pairs, "chosen"), sets, percent)
 
 
 def _linked(comps: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
