@@ -47,6 +47,8 @@ _ATOM = re.compile(
     r"(?:\\[^A-Za-z0-9]|\[\^?\]?(?:\\.|[^\]\\])*\]|[^\\\[\](){}|*+?^$])"
     r"(?:[?*+]\??|\{\d+(?:,\d*)?\}\??)?"
 )
+# A class of word characters only.
+_WORD_CLASS = re.compile(r"\[[A-Za-z0-9_]+\]")
 
 
 def _is_word_char(token: str | None) -> bool:
@@ -178,6 +180,76 @@ def jvm_pattern(rule: str) -> str:
     return FLAGS + jvm_body(rule)
 
 
+def _certain_start(rule: str) -> list[str]:
+    """The word characters, or classes of them, that every match of a rule with a leading
+    ``\\b`` starts with: two at most."""
+    start: list[str] = []
+    at = 2
+    while rule.startswith(r"\b") and len(start) < 2 and (found := _ATOM.match(rule, at)):
+        if not (_is_word_char(found.group()) or _WORD_CLASS.fullmatch(found.group())):
+            break
+        start.append(found.group())
+        at = found.end()
+    return start
+
+
+def never_empty(rule: str) -> bool:
+    """Whether every match of the rule is known to cover text."""
+    return bool(_certain_start(unrolled(rule))) and "|" not in rule
+
+
+def scan_pattern(rule: str) -> str:
+    """``jvm_pattern`` for a whole scan: looks behind only where the rule's first characters are."""
+    rule = unrolled(rule)
+    start = "".join(_certain_start(rule))
+    if not start or "|" in rule:
+        return jvm_pattern(rule)
+    start_jvm, rest = jvm_body(start), jvm_body(rule[2:])
+    return f"{FLAGS}{start_jvm}(?<!{_BEHIND}{start_jvm}){rest[len(start_jvm) :]}"
+
+
+# ASCII letters with the characters that equal them when case is ignored.
+_VARIANTS = {"s": "sSſ", "k": "kK\u212a", "i": "iIİı"}
+_SIMPLE_ATOM = re.compile(r"(\\[^A-Za-z0-9]|\[[A-Za-z0-9_]+\]|[^\\\[])([?*+]\??|\{\d{1,2}(?:,\d{0,2})?\}\??)?")
+
+
+def _variants(letters: str) -> str:
+    return "[" + "".join(_VARIANTS.get(c.lower(), c.lower() + c.upper()) for c in letters) + "]"
+
+
+def looser_pattern(rule: str) -> str | None:
+    """A pattern in RE2 syntax found in every text that the rule is found in (and in some more),
+    for a ``\\b…\\b`` rule of ASCII characters, ``.`` and plain classes, else None.
+
+    Characters beyond ASCII never count as word characters: a boundary is found wherever
+    the rule finds one, whichever characters the engines call letters.
+    """
+    body = rule[2:-2]
+    atoms = _ATOM.findall(body)
+    if not (rule.isascii() and rule.startswith(r"\b") and rule.endswith(r"\b") and "".join(atoms) == body):
+        return None
+    if not _certain_start(rule):
+        return None
+    out = ["(?:^|[^0-9A-Za-z_])"]
+    for atom in atoms:
+        found = _SIMPLE_ATOM.fullmatch(atom)
+        if not found:
+            return None
+        one, times = found.groups(default="")
+        if one == ".":
+            one = r"[^\n]"
+        elif one[0] == "[":
+            one = _variants(one[1:-1])
+        elif one.isalnum():
+            one = _variants(one)
+        elif one[0] != "\\":
+            one = re.escape(one)
+        out.append(one + times)
+    if _is_word_char(atoms[-1]):
+        out.append("(?:$|[^0-9A-Za-z_])")
+    return "".join(out)
+
+
 def word_list_rule(terms: Sequence[str]) -> str:
     """One rule for a lexicon: whole words, alternatives tried in list order."""
     return r"\b(?:" + "|".join(terms) + r")\b"
@@ -224,7 +296,7 @@ def _whole_word_atoms(rule: str) -> list[str] | None:
         return None
     body = rule[2:-2]
     atoms = _ATOM.findall(body)
-    if "".join(atoms) != body or not _is_word_char(atoms[0]):
+    if "".join(atoms) != body or not (_is_word_char(atoms[0]) or _WORD_CLASS.fullmatch(atoms[0])):
         return None
     if not _is_word_char(_last_certain(atoms)):
         return None

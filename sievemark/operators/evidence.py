@@ -3,28 +3,35 @@
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.regex import (
-    any_rule,
     begun_by,
     folded,
     jvm_pattern,
     literal_hits,
     literal_of,
+    looser_pattern,
+    never_empty,
+    scan_pattern,
     word_hits,
 )
 from sievemark.functions.text import STRINGS, empty_strings
 
-# Rules per guard: a guard is one shared scan that lets a text skip its rules.
-FANOUT = 6
+# So many rules that are no literals are scanned for in every text; of more, each text
+# is first asked which it can hold.
+FEW = 6
 
 _PREFIX = "__evidence_"
-_HITS, _FOUND, _KEYS, _WORDING, _OTHERS, _SCANNED = (
-    _PREFIX + name for name in ("hits", "found", "keys", "wording", "others", "scanned")
+_HITS, _FOUND, _KEYS, _WORDING, _POSSIBLE, _SCANNED = (
+    _PREFIX + name for name in ("hits", "found", "keys", "wording", "possible", "scanned")
 )
 _ENTRIES = "array<struct<ord:int,match:string>>"
 
@@ -45,8 +52,8 @@ def with_evidence(
     ``struct<ord, match>``. Texts outside ``guard`` get empty lists unread.
 
     Literal rules of all lists are found together, in one pass over the text;
-    what is left to do per rule is a lookup among the few words found. The other
-    rules of all lists are scanned together, under one tree of shared guards. Further literal ``words`` are looked for in the
+    what is left to do is a lookup of the few words found. Each other rule is looked
+    for by one scan, in the texts that can hold it. Further literal ``words`` are looked for in the
     same pass; ``words_column`` receives each distinct wording found of any
     literal.
     """
@@ -57,10 +64,7 @@ def with_evidence(
     before = df.columns
     df = _with_literals_found(df, literals, text, guard, words_column)
     if others:
-        # Whether any of them hits is a column of its own: the tree below it reads it, not the text.
-        df = df.withColumn(_OTHERS, guard & any_rule(text, others))
-        found = _guarded(text, list(enumerate(others)), True, F.array().cast(_ENTRIES))
-        df = df.withColumn(_SCANNED, F.when(F.col(_OTHERS), F.array_compact(found)).otherwise(F.array().cast(_ENTRIES)))
+        df = _with_scanned(df, others, text, guard)
     columns, start = {}, 0
     for name, patterns in lists.items():
         columns[name] = _list_evidence(patterns, positions, start)
@@ -112,7 +116,6 @@ def _list_evidence(rules: Sequence[str], positions: bool, start: int) -> Column:
     for i, rule in enumerate(rules):
         places[literal_of(rule) is not None].append(i)
     parts = []
-    mixed = bool(places[True]) and bool(places[False])
     if places[True]:
         parts.append(_literal_entries([literal_of(rules[i]) for i in places[True]], places[True]))
     if places[False]:
@@ -121,7 +124,8 @@ def _list_evidence(rules: Sequence[str], positions: bool, start: int) -> Column:
         parts.append(F.transform(own, lambda hit: _entry(F.get(at, hit["ord"] - start), hit["match"], True)))
     if not parts:
         return F.array().cast(_ENTRIES if positions else STRINGS)
-    entries = F.array_sort(F.concat(*parts)) if mixed else parts[0]
+    # Literals come in the order they were found in.
+    entries = F.sort_array(F.concat(*parts)) if places[True] else parts[0]
     return entries if positions else F.transform(entries, lambda entry: entry["match"])
 
 
@@ -130,36 +134,60 @@ def _constants(numbers: Sequence[int]) -> Column:
 
 
 def _literal_entries(literals: Sequence[str], places: Sequence[int]) -> Column:
-    # One constant array of literals, looked up among the words found.
-    wanted = F.split(F.lit("\n".join(literals)), "\n")
-    at = _constants(places)
-
-    def look_up(literal: Column, i: Column) -> Column:
-        match = F.get(_WORDING, _index(F.array_position(_KEYS, literal)))
-        return F.when(match.isNotNull(), _entry(F.get(at, i), match, True))
+    # Constant buckets of literals by checksum: the few words found are looked up, not each literal.
+    buckets: list[list[dict]] = [[] for _ in literals]
+    for literal, place in zip(literals, places):
+        buckets[zlib.crc32(literal.encode()) % len(buckets)].append({"literal": literal, "ord": place})
+    known = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<literal:string,ord:int>>>")
+
+    def look_up(key: Column, i: Column) -> Column:
+        bucket = F.get(known, (F.crc32(key.cast("binary")) % len(buckets)).cast("int"))
+        return F.transform(
+            F.filter(bucket, lambda rule: rule["literal"] == key),
+            lambda rule: _entry(rule["ord"], F.get(_WORDING, i), True),
+        )
 
-    found = F.array_compact(F.transform(wanted, look_up))
+    found = F.flatten(F.transform(_KEYS, look_up))
     return F.when(F.size(_KEYS) > 0, found).otherwise(F.array().cast(_ENTRIES))
 
 
-def _guarded(text: Column, rules: Sequence[tuple[int, str]], positions: bool, empty: Column) -> Column:
-    if len(rules) <= FANOUT:
-        found = F.array(
-            *[
-                F.when(
-                    text.rlike(jvm_pattern(rule)),
-                    _entry(F.lit(i), F.regexp_extract(text, jvm_pattern(rule), 0), positions),
-                )
-                for i, rule in rules
-            ]
-        )
-        if len(rules) == 1:
-            return found
-    else:
-        step = -(-len(rules) // FANOUT)
-        parts = [rules[i : i + step] for i in range(0, len(rules), step)]
-        found = F.concat(*[_guarded(text, part, positions, empty) for part in parts])
-    return F.when(any_rule(text, [rule for _, rule in rules]), found).otherwise(empty)
+def possible_rules(text: Column, rules: Sequence[str]) -> Column:
+    """Places of the rules that ``text`` can hold: all that it holds and few more.
+
+    Rules are looked for by looser patterns in Arrow's linear-time engine; one that has
+    none is always possible. What a text does hold is for the rules themselves to say.
+    """
+    patterns = [looser_pattern(rule) for rule in rules]
+
+    def run(texts: pa.Array) -> pa.Array:
+        hits = np.ones((len(texts), len(patterns)), dtype=bool)
+        for i, pattern in enumerate(patterns):
+            if pattern is not None:
+                found = pc.fill_null(pc.match_substring_regex(texts, pattern), False)
+                hits[:, i] = found.to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(hits.sum(axis=1))])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.nonzero(hits)[1], pa.int32()))
+
+    return F.arrow_udf(run, "array<int>")(F.make_valid_utf8(text))
+
+
+def _with_scanned(df: DataFrame, rules: Sequence[str], text: Column, guard: Column) -> DataFrame:
+    """Add ``struct<ord, match>`` of each rule found, in rule order: its first match."""
+    many = len(rules) > FEW
+    if many:
+        df = df.withColumn(_POSSIBLE, possible_rules(F.when(guard, text), rules))
+    matches = []
+    for i, rule in enumerate(rules):
+        match = F.regexp_extract(text, scan_pattern(rule), 0)
+        # An empty string means no match only where a match covers text.
+        tests = [] if never_empty(rule) else [text.rlike(jvm_pattern(rule))]
+        for test in [*tests, *([F.array_contains(_POSSIBLE, i)] if many else [])]:
+            match = F.when(test, match)
+        matches.append(match)
+    covering = F.array(*[F.lit(never_empty(rule)) for rule in rules])
+    entries = F.transform(F.array(*matches), lambda match, i: _entry(i, match, True))
+    found = F.filter(entries, lambda e: e["match"].isNotNull() & ((e["match"] != "") | ~F.get(covering, e["ord"])))
+    return df.withColumn(_SCANNED, F.when(guard, found).otherwise(F.array().cast(_ENTRIES)))
 
 
 def language(evidence: Mapping[str, Column]) -> Column:

@@ -181,7 +181,8 @@ def screen(
 ) -> DataFrame:
     """Add ``explicit``, ``sensitive`` (unless skipped) and ``keep`` to documents.
 
-    Only column expressions: no shuffle, no Python worker, the same on streams.
+    Only column expressions: no shuffle, the same on streams, and a Python worker (Arrow) only
+    for a pack with more than ``evidence.FEW`` rules that are no literals.
     Most texts are settled by the first scan, which looks for any rule or entity
     at once. With ``config.use_ml`` the columns ``explicit_score`` and
     ``category_scores`` are used where present.
