@@ -29,20 +29,26 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemark.llm.bpe import byte_letters
+from sievemark.llm.texts import chunk_ranges, text_buffers
 
 BLOCK_TOKENS = 1 << 19
 ROUNDS = 4
 PAIRS_PER_ROUND = 1024
 MIN_COUNT = 64
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
+CHUNK_BYTES = 1 << 22
 _COUNT_BITS = 18
-# Letters that stay single letters in lower case and normal form, then marks that never begin a contraction.
-_LETTERS_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")
+# Characters that stay single characters in lower case and normal form; no added token is spelled without "<".
+_PLAIN = re.compile("[!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# The tokenizer's pre-tokens, for these characters in lower case.
+_LOW = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PRE_TOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOW}]+|[0-9]|[^{_LOW}0-9]+")
 
 _BLOCK = (
     "shard int, block int, tokens_before long, n_tokens long, doc_ids array<long>, symbol_ends array<int>, "
@@ -53,6 +59,26 @@ _BLOCK = (
 _BYTE_LETTERS = byte_letters()
 
 
+class _Known(dict):
+    """Ids of words, asked for where not known. Of words not met for long none are kept:
+    when full, the table becomes the older one, and a new one begins."""
+
+    def __init__(self, ask):
+        super().__init__({"": b""})
+        self.ask, self.older = ask, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.ask(word)
+        if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
+            self[""] = b""
+        self[word] = ids
+        return ids
+
+
 class Words:
     """Ids of texts by the tokenizers library, asked once per distinct word.
 
@@ -69,58 +95,35 @@ class Words:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _ask(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words. Letters and the marks behind them are separate pre-tokens, so
-        their ids follow each other."""
-        found: dict[str, bytes] = {}
-        split: list[tuple[str, str, str]] = []
-        letters: set[str] = set()
-        rest: set[str] = set()
-        for word in words:
-            match = _LETTERS_MARKS.fullmatch(word)
-            if match is None:
-                rest.add(word)
-            else:
-                core, marks = match.groups()
-                split.append((word, core, marks))
-                if core not in self.known:
-                    letters.add(core)
-                if marks and marks not in self.known:
-                    rest.add(marks)
-        for word in letters:
-            # Letters need no normaliser but lower case, and are one pre-token: the model itself encodes them.
-            low = word.lower()
-            spelled = low if low.isascii() else "".join([_BYTE_LETTERS[b] for b in low.encode()])
-            found[word] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        others = list(rest)
-        for word, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            found[word] = array("I", encoding.ids).tobytes()
-        for word, core, marks in split:
-            if marks:
-                ids = found.get(core)
-                found[word] = (self.known[core] if ids is None else ids) + (found[marks] if marks in found else self.known[marks])
-        return found
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Native 32-bit ids of each text."""
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted: set[str] = set()
-        for own in pieces:
-            wanted.update(own)
-        missing = list(wanted.difference(self.known))
-        table = self.known
-        if missing:
-            found = self._ask(missing)
-            if len(table) + len(found) <= CACHED_WORDS:
-                table.update(found)
-            else:
-                for word in wanted:
-                    if word in self.known:
-                        found[word] = self.known[word]
-                table = found
-        return [b"".join(map(table.__getitem__, own)) for own in pieces]
+        self.known = _Known(self._ask)
+
+    def _ask(self, word: str) -> bytes:
+        """Ids of a word. A plain word needs no normaliser but lower case; its pre-tokens'
+        ids follow each other, and the model itself encodes a pre-token."""
+        letters = word.isascii() and word.isalpha()  # one pre-token
+        if not letters and _PLAIN.fullmatch(word) is None:
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        low = word.lower()
+        parts = [low] if letters else _PRE_TOKENS.findall(low)
+        if len(parts) > 1 or low != word:
+            return b"".join([self.known[p] for p in parts])
+        spelled = low if low.isascii() else "".join([_BYTE_LETTERS[b] for b in low.encode()])
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def encode(self, texts: Sequence[str | None] | pa.Array) -> list[bytes]:
+        """Native 32-bit ids of each text (null: none)."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        pieces = pc.split_pattern(pc.replace_substring(pc.fill_null(column, ""), "\n", " "), " ")
+        words = pieces.flatten().dictionary_encode()
+        found = [self.known[w] for w in words.dictionary.to_numpy(zero_copy_only=False)]
+        sizes = np.array([len(f) // 4 for f in found], dtype=np.int64)
+        at = words.indices.to_numpy()
+        own = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        shift = (np.cumsum(sizes) - sizes)[at] - ends[:-1]
+        ids = np.frombuffer(b"".join(found), dtype=np.uint32)[np.repeat(shift, own) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[pieces.offsets.to_numpy()]).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -254,9 +257,9 @@ def write_blocks(documents: DataFrame, path: str, tokenizer: str, end_id: int, o
         rows: list[bytes] = []
         size = block = before = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                encoded = words.encode([t or "" for t in part.column(1).to_pylist()])
+            for first, last in chunk_ranges(text_buffers(batch.column(1))[1], CHUNK_BYTES):
+                part = batch.slice(first, last - first)
+                encoded = words.encode(part.column(1))
                 for i, row in zip(part.column(0).to_pylist(), encoded):
                     if rows and size + len(row) // 4 + 1 > BLOCK_TOKENS:
                         yield pa.RecordBatch.from_pylist([_block_row(shard, block, before, ids, rows, words.size)], schema)
