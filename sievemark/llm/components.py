@@ -21,17 +21,17 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
     nodes = whole.select(F.least(left, right).alias("low"), F.greatest(left, right).alias("high"))
     state = durable(nodes.where(F.col("low") != F.col("high")).distinct())
     loops = nodes.select(F.explode(F.array("low", "high")).alias("node")).distinct()
-    before, now = None, _digest(state)
-    while now != before:
+    while not _hung(state):
         state = durable(_small_star(_large_star(state)))
-        before, now = now, _digest(state)
     hung = state.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("root"))
     return loops.join(hung, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-def _digest(edges: DataFrame) -> tuple:
-    """Changes if the set of edges does."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("low", "high").cast("decimal(20,0)"))).first())
+def _hung(edges: DataFrame) -> bool:
+    """Whether every node hangs on its root: no node has two smaller neighbours, or one as well as larger ones."""
+    ends = edges.select(F.explode(F.array(*[F.struct(F.col(end).alias("node"), F.lit(n).alias("up")) for end, n in (("high", 1), ("low", 0))])).alias("e"))
+    counted = ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.count("*").alias("n"))
+    return counted.where((F.col("up") > 0) & (F.col("n") > 1)).isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
